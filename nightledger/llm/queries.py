@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from nightledger.functions.text import canonical_url, compared_value, compared_values, value_set
 from nightledger.llm import percentiles as pc
-from nightledger.llm import set_pairs, terms, top_n
+from nightledger.llm import leakage, linkage, set_pairs, subjects, terms, tokenizer, top_n
 from nightledger.sources.tables import table
 
 SET_THRESHOLD = 0.8
@@ -174,18 +174,71 @@ from ranked join (values (0.1::double), (0.25::double), (0.5::double), (0.75::do
 """
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    linker = linkage.link_batches(table(spark, folder, "price_observations"), "run_id")
+    return linker.repeats().select(F.col("id").alias("observation_id"))
+
+
+P3_SQL = """
+with keyed as (
+  select observation_id as id, snapshot_date, split_part(split_part(property_url, '?', 1), '#', 1) as u, checkin, checkout, adults, children,
+    rooms, currency, market, ltrim(case when room_id is not null then regexp_replace(room_id, '[^0-9]', '', 'g')
+      else regexp_extract(block_id, '[0-9]+') end, '0') as room, regexp_replace(block_id, '[^0-9]', '', 'g') as code
+  from price_observations
+)
+select distinct a.id as observation_id from keyed a join keyed b
+  on a.snapshot_date = b.snapshot_date and a.u = b.u and a.checkin = b.checkin and a.checkout = b.checkout and a.adults = b.adults
+  and a.children = b.children and a.rooms = b.rooms and a.currency = b.currency and a.market = b.market and a.room = b.room and b.id < a.id
+where levenshtein(a.code, b.code) <= 2
+"""
+
+
+def p3_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    linker = linkage.link_batches(table(spark, folder, "price_observations"), "run_id")
+    return linker.current_clusters().select(F.col("member").alias("observation_id"), "representative")
+
+
+def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenizer.encode_column(table(spark, folder, "documents"), "doc_id", "text")
+
+
+def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_passages(spark, folder).select("doc_id", "item_id").distinct()
+
+
+def p10_shares(spark: SparkSession, folder: str) -> DataFrame:
+    docs, areas, labels = (table(spark, folder, n) for n in ("documents", "subject_areas", "subject_labels"))
+    return subjects.subjects(docs, "doc_id", "text", areas, labels, "doc_id", "subject")
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_shares(spark, folder).select("doc_id", "subject").distinct()
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_classes": p1_classes,
+    "p3_found": p3_found,
+    "p3_clusters": p3_clusters,
     "p4_percentiles": p4_percentiles,
     "p4_percentiles_by_date": p4_percentiles_by_date,
     "p6_found": p6_found,
     "p6_term_counts": p6_term_counts,
     "p7_found": p7_found,
+    "p8_ids": p8_ids,
+    "p9_found": p9_found,
+    "p9_passages": p9_passages,
+    "p10_found": p10_found,
+    "p10_shares": p10_shares,
 }
 SQL = {
     "p1_found": P1_SQL,
     "p1_classes": P1_CLASSES_SQL,
+    "p3_found": P3_SQL,
     "p4_percentiles": _p4_sql(""),
     "p4_percentiles_by_date": _p4_sql("snapshot_date,"),
     "p6_found": P6_SQL,
