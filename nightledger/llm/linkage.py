@@ -3,14 +3,15 @@
 The history is a table of blocking keys: one row for each distinct code of a block, with the first record
 that bore it, partitioned by the snapshot the records belong to. A batch reads the partitions of its own
 snapshots only, meets them within blocks, scores the pairs by weights learned from pairs, and appends what
-is new. Clusters are kept as a table member -> representative, to which only touched members are added.
+is new. Each code carries the representative that its cluster had when it came; where a batch joins
+clusters, the absorbed representatives are entered in a table of merges, and nothing else is touched.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,8 @@ HOT_BLOCK = 200
 #: Codes up to this long have their variants enumerated; longer ones in a hot block meet by block and length.
 VARIANT_LENGTH = 64
 KEY = ["part", "b1", "b2"]
-_STATE = "part date, b1 long, b2 long, code string, first_id long, num double, txt string"
+_STATE = "b1 long, b2 long, code string, first_id long, num double, txt string, rep long, part date"
+_MERGES = "member long, representative long, batch int, part date"
 
 
 def edit_level(a: Column, b: Column) -> Column:
@@ -122,7 +124,8 @@ class IncrementalLinker:
     spark: SparkSession
     path: str
     weights: Weights | None = None
-    batch: int = field(default=0)
+    batch: int = 0
+    merged: bool = False
 
     @classmethod
     def create(cls, spark: SparkSession) -> IncrementalLinker:
@@ -133,7 +136,10 @@ class IncrementalLinker:
         """Go on from a folder in which ``batch`` batches were accepted."""
         text = spark.read.text(f"{path}/weights").first()[0]
         d = json.loads(text)
-        return cls(spark, path, Weights(d["odds"], d["threshold"]), batch)
+        jvm = spark.sparkContext._jvm
+        merges = jvm.org.apache.hadoop.fs.Path(f"{path}/merges")
+        merged = merges.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(merges)
+        return cls(spark, path, Weights(d["odds"], d["threshold"]), batch, merged)
 
     def _history(self, parts: list) -> DataFrame:
         if self.batch == 0:
@@ -153,11 +159,15 @@ class IncrementalLinker:
             remove_path(self.spark, groups_path)
             return None
         known = self._history(parts)
-        others = known.withColumn("known", F.lit(True)).unionByName(groups.withColumn("known", F.lit(False)))
+        others = known.withColumn("known", F.lit(True)).unionByName(groups.withColumns({"known": F.lit(False), "rep": F.col("first_id")}))
         hot = others.groupBy(*KEY).agg(F.count("*").alias("codes")).where(F.col("codes") > HOT_BLOCK).select(*KEY)
-        hot, hot_path = store(hot, "hot-blocks")
-        any_hot = not hot.isEmpty()
-        pairs = self._pairs(groups, others, hot if any_hot else None)
+        temporary = [groups_path]
+        if hot.isEmpty():
+            hot = None
+        else:
+            hot, hot_path = store(hot, "hot-blocks")
+            temporary.append(hot_path)
+        pairs = self._pairs(groups, others, hot)
         levels = {"edits": edit_level(F.col("g.code"), F.col("o.code")), "number": number_level(F.col("g.num"), F.col("o.num")), "text": text_level(F.col("g.txt"), F.col("o.txt"))}
         if self.weights is None:
             counted = pairs.select(*[v.alias(k) for k, v in levels.items()]).groupBy(*levels).count().collect()
@@ -167,19 +177,23 @@ class IncrementalLinker:
         links = (
             pairs.where(self.weights.score(levels) >= self.weights.threshold)
             .where(levels["edits"] <= 2)  # the exact check
-            .select(*[F.col(f"g.{k}").alias(k) for k in KEY], F.col("g.code").alias("code"), F.col("g.first_id").alias("id"), F.col("o.first_id").alias("other"), (F.col("g.code") == F.col("o.code")).alias("same"))
+            .select(*[F.col(f"g.{k}").alias(k) for k in KEY], F.col("g.code").alias("code"), F.col("g.first_id").alias("id"), F.col("o.first_id").alias("other"), F.col("o.rep").alias("rep"), F.col("o.known").alias("known"), (F.col("g.code") == F.col("o.code")).alias("same"))
         )
         links, links_path = store(links, "batch-links")
+        folded, folded_path = store(self._fold_clusters(links, hot, parts), "batch-clusters")
         least = links.groupBy(*KEY, "code").agg(F.min("other").alias("other"), F.max("same").alias("old"))
         verdict = groups.join(least, [*KEY, "code"], "left").select(*KEY, "code", "first_id", "num", "txt", F.least("first_id", "other").alias("least_id"), F.coalesce("old", F.lit(False)).alias("old"))
         verdict, verdict_path = store(verdict, "batch-verdict")
         repeats = rows.join(verdict.select(*KEY, "code", "least_id"), [*KEY, "code"]).where(F.col("id") > F.col("least_id")).select("id")
         out = f"{self.path}/repeats/batch={self.batch}"
         repeats.write.parquet(out)
-        fresh = verdict.where(~F.col("old"))
-        self._update_clusters(fresh, links, hot if any_hot else None, parts)
-        fresh.select("b1", "b2", "code", "first_id", "num", "txt", "part").write.mode("append").partitionBy("part").parquet(f"{self.path}/history")
-        for p in (groups_path, hot_path, links_path, verdict_path):
+        merges = folded.where("known and member <> representative")
+        if not merges.isEmpty():
+            self._enter_merges(merges, parts)
+        reps = folded.where("not known").select(F.col("member").alias("first_id"), F.col("representative").alias("rep"))
+        fresh = verdict.where(~F.col("old")).join(reps, "first_id", "left")
+        fresh.select("b1", "b2", "code", "first_id", "num", "txt", F.coalesce("rep", "first_id").alias("rep"), "part").write.mode("append").partitionBy("part").parquet(f"{self.path}/history")
+        for p in (*temporary, links_path, folded_path, verdict_path):
             remove_path(self.spark, p)
         self.batch += 1
         return self.spark.read.schema("id long").parquet(out)
@@ -200,7 +214,7 @@ class IncrementalLinker:
             on = differ
             for k in [*KEY, *more]:
                 on &= F.col(f"g.{k}") == F.col(f"o.{k}")
-            return g.alias("g").join(o.alias("o"), on).select(*[F.struct(*[F.col(f"{s}.{c}").alias(c) for c in (cols if s == "g" else [*cols, "known"])]).alias(s) for s in "go"])
+            return g.alias("g").join(o.alias("o"), on).select(*[F.struct(*[F.col(f"{s}.{c}").alias(c) for c in (cols if s == "g" else [*cols, "known", "rep"])]).alias(s) for s in "go"])
 
         if hot is None:
             return within(groups, others, [])
@@ -213,51 +227,68 @@ class IncrementalLinker:
         long = within(shifted(hg, [0]), shifted(ho, range(-2, 3)), ["size"]).where((F.length("g.code") > VARIANT_LENGTH) | (F.length("o.code") > VARIANT_LENGTH))
         return cool.unionByName(near).unionByName(long)
 
-    def _update_clusters(self, fresh: DataFrame, links: DataFrame, hot: DataFrame | None, parts: list) -> None:
-        """Give each new code its representative, the least first id of its cluster, and move touched clusters.
+    def _merges(self, parts: list | None) -> DataFrame | None:
+        """(part, member, representative): where absorbed representatives went, their last entry each."""
+        if not self.merged:
+            return None
+        log = self.spark.read.schema(_MERGES).parquet(f"{self.path}/merges")
+        if parts is not None:
+            log = log.where(F.col("part").isin(parts))
+        return log.groupBy("part", "member").agg(F.max(F.struct("batch", (-F.col("representative")).alias("minus"))).alias("x")).select("part", "member", (-F.col("x.minus")).alias("representative"))
+
+    def _fold_clusters(self, links: DataFrame, hot: DataFrame | None, parts: list) -> DataFrame:
+        """(part, member, known, representative) of what the batch's links touch: new first ids and known representatives.
 
-        Links lie within blocks, so each block's are folded by union-find on their own; blocks too large for
-        that go through repeated joins.
+        Links lie within blocks, so each block's are folded by union-find on their own; blocks too large
+        for that go through repeated joins.
         """
-        new = fresh.select(*KEY, F.col("first_id").alias("id"))
-        edges = links.select(*KEY, "id", "other")
-        if self.batch:
-            mapping = self.current_clusters(parts)
-            roots = mapping.select(F.col("member").alias("other"), "representative")
-            edges = edges.join(roots, "other", "left").select(*KEY, "id", F.coalesce("representative", "other").alias("other"))
-        edges = edges.select(*KEY, "id", "other")
+        edges = links.select(*KEY, "id", F.when(F.col("known"), F.col("rep")).otherwise(F.col("other")).alias("other"), "known")
+        merges = self._merges(parts)
+        if merges is not None:
+            now = merges.select(F.col("member").alias("other"), F.col("representative").alias("now"))
+            edges = edges.join(now, "other", "left").select(*KEY, "id", F.when(F.col("known"), F.coalesce("now", "other")).otherwise(F.col("other")).alias("other"), "known")
+        big = None
         if hot is not None:
             big = edges.join(hot, KEY, "left_semi")
-            labels = _components_by_joins(big.select("id", "other"))
             edges = edges.join(hot, KEY, "left_anti")
-        small = edges.groupBy(*KEY).agg(F.collect_list(F.struct("id", "other")).alias("edges")).select("part", F.explode(_fold("edges")).alias("x")).select("part", F.col("x.member").alias("member"), F.col("x.representative").alias("representative"))
-        moved = small if hot is None else small.unionByName(big.select("part", F.col("id").alias("member")).unionByName(big.select("part", F.col("other").alias("member"))).distinct().join(labels, "member"))
-        alone = new.select("part", F.col("id").alias("member")).join(moved.select("member"), "member", "left_anti").select("part", "member", F.col("member").alias("representative"))
-        out = moved.unionByName(alone)
-        if self.batch:  # the other members of representatives that were absorbed
-            absorbed = moved.where("member <> representative").select(F.col("member").alias("was"), F.col("representative").alias("now"))
-            carried = mapping.join(absorbed, F.col("representative") == F.col("was")).where("member <> was").select("part", "member", F.col("now").alias("representative"))
-            out = out.unionByName(carried)
-        out.withColumn("batch", F.lit(self.batch)).write.mode("append").partitionBy("part").parquet(f"{self.path}/clusters")
-
-    def current_clusters(self, parts: list | None = None) -> DataFrame:
-        """(part, member, representative): the last entry of each member, a member being a code's first id."""
+        blocks = edges.groupBy(*KEY).agg(F.collect_set(F.struct("id", "other", "known")).alias("edges"))
+        out = blocks.select("part", F.explode(_fold("edges")).alias("x")).select("part", "x.member", "x.known", "x.representative")
+        if big is not None:
+            ends = big.select("part", F.col("other").alias("member"), "known").unionByName(big.select("part", F.col("id").alias("member"), F.lit(False).alias("known")))
+            labels = _components_by_joins(big.select("id", "other"))
+            out = out.unionByName(ends.groupBy("part", "member").agg(F.max("known").alias("known")).join(labels, "member").select("part", "member", "known", "representative"))
+        return out
+
+    def _enter_merges(self, merges: DataFrame, parts: list) -> None:
+        new = merges.select("part", "member", "representative")
+        before = self._merges(parts)
+        if before is not None:  # what had gone to a representative that is absorbed now goes on with it
+            moved = new.select(F.col("member").alias("was"), F.col("representative").alias("now"))
+            new = new.unionByName(before.join(moved, F.col("representative") == F.col("was")).select("part", "member", F.col("now").alias("representative")))
+        new.withColumn("batch", F.lit(self.batch)).select("member", "representative", "batch", "part").write.mode("append").partitionBy("part").parquet(f"{self.path}/merges")
+        self.merged = True
+
+    def current_clusters(self) -> DataFrame:
+        """(part, member, representative): each code's first id and the least first id of its cluster."""
         if self.batch == 0:
             return self.spark.createDataFrame([], "part date, member long, representative long")
-        log = self.spark.read.schema("member long, representative long, batch int, part date").parquet(f"{self.path}/clusters")
-        if parts is not None:
-            log = log.where(F.col("part").isin(parts))
-        # an absorbed representative may get more than one entry in a batch: the least wins, as in union-find
-        return log.groupBy("part", "member").agg(F.max(F.struct("batch", (-F.col("representative")).alias("minus"))).alias("x")).select("part", "member", (-F.col("x.minus")).alias("representative"))
+        codes = self.spark.read.schema(_STATE).parquet(f"{self.path}/history").select("part", F.col("first_id").alias("member"), "rep")
+        merges = self._merges(None)
+        if merges is None:
+            return codes.withColumnRenamed("rep", "representative")
+        now = merges.select("part", F.col("member").alias("rep"), "representative")
+        return codes.join(now, ["part", "rep"], "left").select("part", "member", F.coalesce("representative", "rep").alias("representative"))
 
 
 def _fold(edges: str) -> Column:
     """Union-find over one block's edges (at most HOT_BLOCK nodes); representatives are least ids."""
-    @F.pandas_udf("array<struct<member: long, representative: long>>")
+
+    @F.pandas_udf("array<struct<member: long, known: boolean, representative: long>>")
     def fold(blocks: pd.Series) -> pd.Series:
         out = []
         for block in blocks:
             parent: dict[int, int] = {}
+            known: set[int] = set()
 
             def find(x: int, parent: dict[int, int] = parent) -> int:
                 while parent.setdefault(x, x) != x:
@@ -266,10 +297,12 @@ def _fold(edges: str) -> Column:
                 return x
 
             for e in block:
+                if e["known"]:
+                    known.add(e["other"])
                 a, b = find(e["id"]), find(e["other"])
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-            out.append([{"member": x, "representative": find(x)} for x in list(parent)])
+            out.append([{"member": x, "known": x in known, "representative": find(x)} for x in list(parent)])
         return pd.Series(out)
 
     return fold(F.col(edges))
