@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import json
 import math
-from dataclasses import dataclass
+from collections import Counter
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nightledger.functions.text import canonical_url, digits_only, finite, null_marked
@@ -126,6 +128,8 @@ class IncrementalLinker:
     weights: Weights | None = None
     batch: int = 0
     merged: bool = False
+    counted: bool = True  # whether ``largest`` knows all batches
+    largest: dict = field(default_factory=dict)
 
     @classmethod
     def create(cls, spark: SparkSession) -> IncrementalLinker:
@@ -139,7 +143,7 @@ class IncrementalLinker:
         jvm = spark.sparkContext._jvm
         merges = jvm.org.apache.hadoop.fs.Path(f"{path}/merges")
         merged = merges.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(merges)
-        return cls(spark, path, Weights(d["odds"], d["threshold"]), batch, merged)
+        return cls(spark, path, Weights(d["odds"], d["threshold"]), batch, merged, False)
 
     def _history(self, parts: list) -> DataFrame:
         if self.batch == 0:
@@ -153,20 +157,24 @@ class IncrementalLinker:
             rows.groupBy(*KEY, "code").agg(F.min(F.struct("id", "num", "txt")).alias("f")).select(*KEY, "code", F.col("f.id").alias("first_id"), F.col("f.num").alias("num"), F.col("f.txt").alias("txt")),
             "batch-groups",
         )
-        # one row for each snapshot that the batch holds rows of
-        parts = [r[0] for r in groups.select("part").distinct().collect()]
+        # one row for each snapshot that the batch holds rows of, with its largest block
+        sizes = groups.groupBy(*KEY).agg(F.count("*").alias("codes")).groupBy("part").agg(F.max("codes").alias("codes"))
+        most = {r["part"]: r["codes"] for r in sizes.collect()}
+        parts = list(most)
         if not parts:
             remove_path(self.spark, groups_path)
             return None
         known = self._history(parts)
         others = known.withColumn("known", F.lit(True)).unionByName(groups.withColumns({"known": F.lit(False), "rep": F.col("first_id")}))
-        hot = others.groupBy(*KEY).agg(F.count("*").alias("codes")).where(F.col("codes") > HOT_BLOCK).select(*KEY)
         temporary = [groups_path]
-        if hot.isEmpty():
-            hot = None
-        else:
-            hot, hot_path = store(hot, "hot-blocks")
-            temporary.append(hot_path)
+        # a block can't hold more codes than the largest ones of its batches together: most batches need no look
+        self.largest = {**self.largest, **{p: self.largest.get(p, 0 if self.counted else HOT_BLOCK) + n for p, n in most.items()}}
+        hot = None
+        if max(self.largest[p] for p in parts) > HOT_BLOCK:
+            found = others.groupBy(*KEY).agg(F.count("*").alias("codes")).where(F.col("codes") > HOT_BLOCK).select(*KEY)
+            if not found.isEmpty():
+                hot, hot_path = store(found, "hot-blocks")
+                temporary.append(hot_path)
         pairs = self._pairs(groups, others, hot)
         levels = {"edits": edit_level(F.col("g.code"), F.col("o.code")), "number": number_level(F.col("g.num"), F.col("o.num")), "text": text_level(F.col("g.txt"), F.col("o.txt"))}
         if self.weights is None:
@@ -180,20 +188,23 @@ class IncrementalLinker:
             .select(*[F.col(f"g.{k}").alias(k) for k in KEY], F.col("g.code").alias("code"), F.col("g.first_id").alias("id"), F.col("o.first_id").alias("other"), F.col("o.rep").alias("rep"), F.col("o.known").alias("known"), (F.col("g.code") == F.col("o.code")).alias("same"))
         )
         links, links_path = store(links, "batch-links")
-        folded, folded_path = store(self._fold_clusters(links, hot, parts), "batch-clusters")
+        folded = self._fold_clusters(links, hot, parts)
+        reps = folded.where("not known").select(F.col("member").alias("first_id"), F.col("representative").alias("rep"), "joins")
         least = links.groupBy(*KEY, "code").agg(F.min("other").alias("other"), F.max("same").alias("old"))
-        verdict = groups.join(least, [*KEY, "code"], "left").select(*KEY, "code", "first_id", "num", "txt", F.least("first_id", "other").alias("least_id"), F.coalesce("old", F.lit(False)).alias("old"))
-        verdict, verdict_path = store(verdict, "batch-verdict")
-        repeats = rows.join(verdict.select(*KEY, "code", "least_id"), [*KEY, "code"]).where(F.col("id") > F.col("least_id")).select("id")
+        verdict = groups.join(least, [*KEY, "code"], "left").join(reps, "first_id", "left")
+        verdict = verdict.select(*KEY, "code", "first_id", "num", "txt", F.coalesce("rep", "first_id").alias("rep"), F.least("first_id", "other").alias("least_id"), F.coalesce("old", F.lit(False)).alias("old"), "joins")
+        joined = Observation()
+        verdict, verdict_path = store(verdict.observe(joined, F.count_if("joins").alias("n")).drop("joins"), "batch-verdict")
+        if joined.get["n"]:
+            self._enter_merges(folded.where("known and member <> representative"), parts)
         out = f"{self.path}/repeats/batch={self.batch}"
-        repeats.write.parquet(out)
-        merges = folded.where("known and member <> representative")
-        if not merges.isEmpty():
-            self._enter_merges(merges, parts)
-        reps = folded.where("not known").select(F.col("member").alias("first_id"), F.col("representative").alias("rep"))
-        fresh = verdict.where(~F.col("old")).join(reps, "first_id", "left")
-        fresh.select("b1", "b2", "code", "first_id", "num", "txt", F.coalesce("rep", "first_id").alias("rep"), "part").write.mode("append").partitionBy("part").parquet(f"{self.path}/history")
-        for p in (*temporary, links_path, folded_path, verdict_path):
+        repeats = rows.join(verdict.select(*KEY, "code", "least_id"), [*KEY, "code"]).where(F.col("id") > F.col("least_id")).select("id")
+        fresh = verdict.where(~F.col("old")).select("b1", "b2", "code", "first_id", "num", "txt", "rep", "part")
+        with ThreadPoolExecutor(2) as both:  # two jobs that don't wait for each other
+            jobs = [both.submit(repeats.write.parquet, out), both.submit(fresh.write.mode("append").partitionBy("part").parquet, f"{self.path}/history")]
+            for j in jobs:
+                j.result()
+        for p in (*temporary, links_path, verdict_path):
             remove_path(self.spark, p)
         self.batch += 1
         return self.spark.read.schema("id long").parquet(out)
@@ -237,7 +248,9 @@ class IncrementalLinker:
         return log.groupBy("part", "member").agg(F.max(F.struct("batch", (-F.col("representative")).alias("minus"))).alias("x")).select("part", "member", (-F.col("x.minus")).alias("representative"))
 
     def _fold_clusters(self, links: DataFrame, hot: DataFrame | None, parts: list) -> DataFrame:
-        """(part, member, known, representative) of what the batch's links touch: new first ids and known representatives.
+        """(part, member, known, representative, joins) of what the batch's links touch: new first ids and known representatives.
+
+        ``joins`` says whether more than one known representative may have come together in the cluster.
 
         Links lie within blocks, so each block's are folded by union-find on their own; blocks too large
         for that go through repeated joins.
@@ -252,11 +265,11 @@ class IncrementalLinker:
             big = edges.join(hot, KEY, "left_semi")
             edges = edges.join(hot, KEY, "left_anti")
         blocks = edges.groupBy(*KEY).agg(F.collect_set(F.struct("id", "other", "known")).alias("edges"))
-        out = blocks.select("part", F.explode(_fold("edges")).alias("x")).select("part", "x.member", "x.known", "x.representative")
+        out = blocks.select("part", F.explode(_fold("edges")).alias("x")).select("part", "x.member", "x.known", "x.representative", "x.joins")
         if big is not None:
             ends = big.select("part", F.col("other").alias("member"), "known").unionByName(big.select("part", F.col("id").alias("member"), F.lit(False).alias("known")))
             labels = _components_by_joins(big.select("id", "other"))
-            out = out.unionByName(ends.groupBy("part", "member").agg(F.max("known").alias("known")).join(labels, "member").select("part", "member", "known", "representative"))
+            out = out.unionByName(ends.groupBy("part", "member").agg(F.max("known").alias("known")).join(labels, "member").select("part", "member", "known", "representative", F.lit(True).alias("joins")))
         return out
 
     def _enter_merges(self, merges: DataFrame, parts: list) -> None:
@@ -283,7 +296,7 @@ class IncrementalLinker:
 def _fold(edges: str) -> Column:
     """Union-find over one block's edges (at most HOT_BLOCK nodes); representatives are least ids."""
 
-    @F.pandas_udf("array<struct<member: long, known: boolean, representative: long>>")
+    @F.pandas_udf("array<struct<member: long, known: boolean, representative: long, joins: boolean>>")
     def fold(blocks: pd.Series) -> pd.Series:
         out = []
         for block in blocks:
@@ -302,7 +315,8 @@ def _fold(edges: str) -> Column:
                 a, b = find(e["id"]), find(e["other"])
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-            out.append([{"member": x, "known": x in known, "representative": find(x)} for x in list(parent)])
+            held = Counter(find(x) for x in known)
+            out.append([{"member": x, "known": x in known, "representative": find(x), "joins": held[find(x)] > 1} for x in list(parent)])
         return pd.Series(out)
 
     return fold(F.col(edges))

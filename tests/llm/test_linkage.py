@@ -119,3 +119,13 @@ def test_offer_records_rooms_and_codes(spark):
     got = {r["id"]: (r["b1"], r["code"]) for r in linkage.offer_records(df).collect()}
     assert got[1][0] == got[2][0] == got[4][0] != got[3][0]
     assert got[1][1] == "123" and got[2][1] == "0123" and got[4][1] is None and got[5][0] is None
+
+
+def test_batches_without_any_link(spark):
+    day = date(2031, 1, 1)
+    linker = linkage.IncrementalLinker.create(spark)
+    for k in range(3):
+        linker.accept(spark.createDataFrame([(k + 1, day, k, 1, "123456", None, None)], SCHEMA))
+    linker.accept(spark.createDataFrame([(9, day, 1, 1, "999999999", None, None)], SCHEMA))
+    assert linker.repeats().count() == 0
+    assert linker.current_clusters().count() == 4
