@@ -173,11 +173,12 @@ def points_in_regions(points: DataFrame, lat: str, lon: str, regions: DataFrame,
     for p in parts[1:]:
         covers = covers.unionByName(p)
     code = point_code(F.col(lat), F.col(lon))
-    keyed = points.where(usable(F.col(lat), F.col(lon))).withColumn(
-        "bins_", F.explode(F.array(*[F.struct(F.lit(lv).alias("lv"), F.shiftright(code, 3 * (FINE - lv) + 3).alias("b")) for lv in levels]))
+    # the point's own columns stay in a struct, apart from ours
+    keyed = points.where(usable(F.col(lat), F.col(lon))).select(
+        F.struct(*[F.col(c) for c in points.columns]).alias("point_"), F.col(lat).alias("y_at"), F.col(lon).alias("x_at"), F.explode(F.array(*[F.struct(F.lit(lv).alias("lv"), F.shiftright(code, 3 * (FINE - lv) + 3).alias("b")) for lv in levels])).alias("bins_")
     )
     joined = keyed.join(covers, (F.col("bins_.lv") == F.col("level")) & (F.col("bins_.b") == F.col("bin_")), "inner")
-    y, x = F.col(lat), F.col(lon)
+    y, x = F.col("y_at"), F.col("x_at")
     n = F.size(corners)
     crossings = F.aggregate(
         F.sequence(F.lit(0), n - 1),
@@ -188,4 +189,4 @@ def points_in_regions(points: DataFrame, lat: str, lon: str, regions: DataFrame,
             & (x < F.try_divide((corners[(i + 1) % n]["lon"] - corners[i]["lon"]) * (y - corners[i]["lat"]), corners[(i + 1) % n]["lat"] - corners[i]["lat"]) + corners[i]["lon"])
         ),
     )
-    return joined.where(F.coalesce(crossings, F.lit(False))).select(*[F.col(c) for c in points.columns], F.col("rid_").alias(region_id))
+    return joined.where(F.coalesce(crossings, F.lit(False))).select("point_.*", F.col("rid_").alias(region_id))
