@@ -77,3 +77,23 @@ def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> tu
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once for each application: executors needn't have it installed."""
+    import shutil
+    from pathlib import Path
+
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    folder = Path(tempfile.mkdtemp(prefix="nightledger-code-"))
+    copy = folder / "code" / root.name
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns("__pycache__"))
+    spark.sparkContext.addPyFile(shutil.make_archive(str(folder / f"nightledger-{uuid.uuid4().hex[:8]}"), "zip", folder / "code"))
+    atexit.register(shutil.rmtree, folder, True)
+    _shipped.add(app)

@@ -8,6 +8,8 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.session import ship_package
+
 _UNSEEN = {"script", "style", "noscript"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
@@ -72,12 +74,14 @@ def visible_text(pages: DataFrame, html: str, name: str) -> DataFrame:
     def shown(col: pd.Series) -> pd.Series:
         return col.map(text_of)
 
+    ship_package(pages.sparkSession)
     shown.__annotations__ = {"col": pd.Series, "return": pd.Series}
     return pages.withColumn(name, pandas_udf(shown, "string")(F.col(html)))
 
 
 def links(pages: DataFrame, page: str, html: str) -> DataFrame:
     """(page, position, href, text): each page's links, the first of each target without query and fragment."""
+    ship_package(pages.sparkSession)
     kind = pages.schema[page].dataType.simpleString()
 
     def parse(batches: Iterator) -> Iterator:
