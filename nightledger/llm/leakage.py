@@ -14,6 +14,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.session import ship_package
+
 PASSAGE_WORDS = 12
 #: Text of items one automaton takes at most; more items go to further automata, so none is left out.
 MAX_ITEM_CHARS = 8_000_000
@@ -88,6 +90,7 @@ def leaks(documents: DataFrame, doc_id: str, text: str, items: DataFrame, item_i
     hit's end in the text as given).
     """
     spark = documents.sparkSession
+    ship_package(spark)
     known = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
     blocks: list[list[tuple[int, list[str]]]] = []
     room = 0

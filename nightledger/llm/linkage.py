@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nightledger.functions.text import canonical_url, digits_only, finite, null_marked
-from nightledger.session import new_table_path, remove_path, store
+from nightledger.session import new_table_path, remove_path, ship_package, store
 
 #: Blocks of more codes than this are joined by deletion variants instead of all against all.
 HOT_BLOCK = 200
@@ -152,6 +152,7 @@ class IncrementalLinker:
 
     def accept(self, rows: DataFrame) -> DataFrame | None:
         """Link a batch, take it into the history, and return the ids of its repeats (column ``id``)."""
+        ship_package(self.spark)
         rows = rows.where(F.col("part").isNotNull() & F.col("b1").isNotNull() & F.col("code").isNotNull())
         groups, groups_path = store(
             rows.groupBy(*KEY, "code").agg(F.min(F.struct("id", "num", "txt")).alias("f")).select(*KEY, "code", F.col("f.id").alias("first_id"), F.col("f.num").alias("num"), F.col("f.txt").alias("txt")),

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.session import remove_path, store
+from nightledger.session import remove_path, ship_package, store
 
 #: The label of passages that treat no subject; documents labelled with null seed it.
 NONE = "(none)"
@@ -115,6 +115,7 @@ def subjects(
     """
     rules = rules or Rules()
     spark = documents.sparkSession
+    ship_package(spark)
     cut, cut_path = store(passages(documents, doc_id, text, rules.least_words), "passages")
     # numbered after the rows are fixed, so that a lost task gives the same numbers again
     cut, numbered_path = store(cut.withColumn("p", F.monotonically_increasing_id()), "passages")

@@ -22,6 +22,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.session import ship_package
+
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the public vocabulary's splitting pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -191,6 +193,7 @@ def encode_column(texts: DataFrame, key: str, column: str, vocabulary: str = DEF
     The vocabulary file must lie on the driver; it and the lexicon are handed to the executors as files.
     """
     spark = texts.sparkSession
+    ship_package(spark)
     ranks = load_ranks(vocabulary)
     # at most lexicon_words rows; the least word wins a tie, so the lexicon is always the same
     frequent = word_counts(texts, column, pattern).orderBy(F.desc("n"), "word").limit(lexicon_words)
