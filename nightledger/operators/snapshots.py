@@ -65,9 +65,9 @@ def snapshot_changes(
         return d.select(*[F.col(c).alias(f"{mark}_{c}") for c in ("later", "id", "row_hash", *names)])
 
     new, old = side("n", "later"), side("o", "earlier")
-    on = (F.col("n_id") == F.col("o_id")) & (F.col("n_later") == F.col("o_later"))
-    for n in names:
-        on &= F.col(f"n_{n}").eqNullSafe(F.col(f"o_{n}"))
+    # counted rather than joined by "and": the planner would sort and hash by every one of them
+    alike = sum((F.col(f"n_{n}").eqNullSafe(F.col(f"o_{n}")).cast("int") for n in names), F.lit(0))
+    on = (F.col("n_id") == F.col("o_id")) & (F.col("n_later") == F.col("o_later")) & (alike == len(names))
     change = (
         F.when(F.col("o_id").isNull(), "added")
         .when(F.col("n_id").isNull(), "removed")
@@ -92,21 +92,23 @@ WINDOW_KEY = ("property_url", "lead_time_days", "stay_length_days", "adults", "c
 def presence_records(presence: DataFrame, offers: DataFrame) -> DataFrame:
     """One record per snapshot, property and search window of ``offer_presence``, with its lowest price.
 
-    Of several rows the one with the greatest ``presence_id`` counts. Both tables go through one
-    aggregation on their common key, null keys included, so that the price needs no join of its own
-    and both are combined before the shuffle.
+    Of several rows the one with the greatest ``presence_id`` counts; its status is given as a hash
+    (null for null), since statuses are only compared. Both tables go through one aggregation on their
+    common key, null keys included, so that the price needs no join of its own; all that it keeps is of
+    fixed width, so it combines by hash before the shuffle, without sorting.
     """
     from nightledger.functions.text import canonical_url
 
     key = [canonical_url("property_url").alias("property_url"), *WINDOW_KEY[1:]]
     status = F.lower(F.trim(F.regexp_replace("availability_status", r"(?U)^\s+|\s+$", "")))
-    seen = presence.select("snapshot_date", *key, F.struct(F.col("presence_id"), status.alias("status")).alias("last"), F.lit(None).cast("double").alias("price"))
+    none = F.lit(None)
+    seen = presence.select("snapshot_date", *key, F.col("presence_id"), F.when(status.isNotNull(), F.xxhash64(status)).alias("status"), none.cast("double").alias("price"))
     price = F.col("price_per_night")
-    priced = offers.where((price > 0) & ~F.isnan(price)).select("snapshot_date", *key, F.lit(None).cast(seen.schema["last"].dataType).alias("last"), price.alias("price"))
+    priced = offers.where((price > 0) & ~F.isnan(price)).select("snapshot_date", *key, none.cast("long").alias("presence_id"), none.cast("long").alias("status"), price.alias("price"))
     return (
         seen.unionByName(priced)
         .groupBy("snapshot_date", *WINDOW_KEY)
-        .agg(F.max("last").alias("last"), F.min("price").alias("price"))
+        .agg(F.max("presence_id").alias("last"), F.max_by("status", "presence_id").alias("status_hash"), F.min("price").alias("price"))
         .where(F.col("last").isNotNull())
-        .select("snapshot_date", *WINDOW_KEY, F.col("last.status").alias("status"), "price")
+        .select("snapshot_date", *WINDOW_KEY, "status_hash", "price")
     )

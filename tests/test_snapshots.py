@@ -1,6 +1,7 @@
 from datetime import date
 
-from nightledger.operators.snapshots import presence_records, snapshot_changes, WINDOW_KEY
+from nightledger.operators.snapshots import WINDOW_KEY, presence_records, snapshot_changes
+from pyspark.sql import functions as F
 
 D1, D2, D3 = date(2031, 1, 1), date(2031, 1, 3), date(2031, 1, 4)
 
@@ -34,6 +35,7 @@ def test_presence_last_row_counts_and_lowest_price(spark):
     offers = spark.createDataFrame(
         [(D1, *k, 5.0), (D1, "u#y", *k[1:], 4.0), (D1, *k, nan), (D1, *k, -1.0), (D1, *k, 0.0), (D1, *k, None), (D2, "other", *k[1:], 3.0)], f"snapshot_date date, {key}, price_per_night double"
     )
-    got = {(r["snapshot_date"], r["status"], r["price"]) for r in presence_records(seen, offers).collect()}
-    assert got == {(D1, "scrape_failed", 4.0), (D2, None, None)}
-    assert presence_records(seen.limit(0), offers).columns == ["snapshot_date", *WINDOW_KEY, "status", "price"]
+    hash_of = spark.range(1).select(F.xxhash64(F.lit("scrape_failed"))).first()[0]
+    got = {(r["snapshot_date"], r["status_hash"], r["price"]) for r in presence_records(seen, offers).collect()}
+    assert got == {(D1, hash_of, 4.0), (D2, None, None)}
+    assert presence_records(seen.limit(0), offers).columns == ["snapshot_date", *WINDOW_KEY, "status_hash", "price"]
