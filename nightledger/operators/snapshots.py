@@ -36,6 +36,7 @@ def snapshot_changes(
     snapshot: str,
     key: Sequence[str],
     compared: Sequence[str],
+    delivered: DataFrame | None = None,
 ) -> DataFrame:
     """Added, removed and changed records of each two consecutive snapshots.
 
@@ -45,11 +46,13 @@ def snapshot_changes(
     hash of (snapshot, key); the columns themselves are then compared null-safe, so that a clash of
     hashes can't merge two keys. Null is a value of its own in keys and compared columns alike.
 
+    ``delivered`` is a plainer table with the same snapshots, to list them from without making the records.
+
     Defined results: an empty table or a single snapshot gives no rows; rows whose snapshot is null
     belong to no snapshot; further columns of ``records`` are ignored, also those named like ours.
     Columns: ``snapshot`` (the later one), the key, ``change``.
     """
-    pairs = consecutive_pairs(records, snapshot)
+    pairs = consecutive_pairs(records if delivered is None else delivered, snapshot)
     names = [f"k{i}" for i in range(len(key))]
     flat = records.select(
         F.col(snapshot).alias("at"),

@@ -34,8 +34,9 @@ where 2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(b.la - a.la) / 2), 2)
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    records = presence_records(table(spark, folder, "offer_presence"), table(spark, folder, "price_observations"))
-    changes = snapshot_changes(records, "snapshot_date", WINDOW_KEY, ("status_hash", "price"))
+    presence = table(spark, folder, "offer_presence")
+    records = presence_records(presence, table(spark, folder, "price_observations"))
+    changes = snapshot_changes(records, "snapshot_date", WINDOW_KEY, ("status_hash", "price"), presence)
     return changes.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM-dd"))
 
 
