@@ -27,7 +27,7 @@ HOT_BLOCK = 200
 #: Codes up to this long have their variants enumerated; longer ones in a hot block meet by block and length.
 VARIANT_LENGTH = 64
 KEY = ["part", "b1", "b2"]
-_STATE = "b1 long, b2 long, code string, first_id long, num double, txt string, rep long, part date"
+_STATE = "b1 long, b2 long, code string, first_id long, num double, txt long, rep long, part date"
 _MERGES = "member long, representative long, batch int, part date"
 
 
@@ -115,7 +115,7 @@ class IncrementalLinker:
     """Takes batches in the order they arrive; everything it knows lies in its folder.
 
     Batches have the columns ``id`` (long, rising from batch to batch), ``part`` (date), ``b1``, ``b2``
-    (the block), ``code``, ``num``, ``txt``. A record repeats another if both lie in one block and their
+    (the block), ``code``, ``num``, ``txt`` (hash of a text). A record repeats another if both lie in one block and their
     codes are at most two edits apart.
 
     Defined results: records with a null among the block's fields or a null code are never repeats and
@@ -155,7 +155,8 @@ class IncrementalLinker:
         ship_package(self.spark)
         rows = rows.where(F.col("part").isNotNull() & F.col("b1").isNotNull() & F.col("code").isNotNull())
         groups, groups_path = store(
-            rows.groupBy(*KEY, "code").agg(F.min(F.struct("id", "num", "txt")).alias("f")).select(*KEY, "code", F.col("f.id").alias("first_id"), F.col("f.num").alias("num"), F.col("f.txt").alias("txt")),
+            # all of fixed width, so that it combines by hash before the shuffle
+            rows.groupBy(*KEY, "code").agg(F.min("id").alias("first_id"), F.min_by("num", "id").alias("num"), F.min_by("txt", "id").alias("txt")),
             "batch-groups",
         )
         # one row for each snapshot that the batch holds rows of, with its largest block
@@ -345,8 +346,8 @@ def _components_by_joins(edges: DataFrame) -> DataFrame:
 SAME_SEARCH = ("checkin", "checkout", "adults", "children", "rooms", "currency", "market")
 
 
-def offer_records(offers: DataFrame) -> DataFrame:
-    """``price_observations`` in the linker's columns."""
+def offer_records(offers: DataFrame, *more: str) -> DataFrame:
+    """``price_observations`` in the linker's columns, and the given ones besides."""
     plain = lambda c: F.regexp_replace(c, "^0+", "")
     room = F.when(F.col("room_id").isNotNull(), plain(digits_only("room_id"))).otherwise(plain(F.regexp_extract("block_id", "([0-9]+)", 1)))
     block = [canonical_url("property_url"), *[F.col(c) for c in SAME_SEARCH], room]
@@ -360,17 +361,21 @@ def offer_records(offers: DataFrame) -> DataFrame:
         F.hash(*null_marked(*block)).cast("long").alias("b2"),
         digits_only("block_id").alias("code"),
         finite("price_per_night").alias("num"),
-        F.lower("room_name").alias("txt"),
+        F.when(F.col("room_name").isNotNull(), F.xxhash64(F.lower("room_name"))).alias("txt"),
+        *more,
     )
 
 
 def link_batches(offers: DataFrame, batch_column: str) -> IncrementalLinker:
     """Feed a table to a new linker batch by batch, in the order of ``batch_column``, null first.
 
-    The list of batches is one value for each delivery.
+    The table is read once, cut down to the linker's columns and laid down by batch, as deliveries would
+    be; each batch then reads its own folder. The list of batches is one value for each delivery.
     """
     linker = IncrementalLinker.create(offers.sparkSession)
-    batches = sorted((r[0] for r in offers.select(batch_column).distinct().collect()), key=lambda x: (x is not None, x))
+    landed, landed_path = store(offer_records(offers, batch_column), "batches", [batch_column])
+    batches = sorted((r[0] for r in landed.select(batch_column).distinct().collect()), key=lambda x: (x is not None, x))
     for b in batches:
-        linker.accept(offer_records(offers.where(F.col(batch_column).eqNullSafe(F.lit(b)))))
+        linker.accept(landed.where(F.col(batch_column).eqNullSafe(F.lit(b))).drop(batch_column))
+    remove_path(offers.sparkSession, landed_path)
     return linker

@@ -4,7 +4,7 @@ from datetime import date
 from nightledger.llm import linkage
 from pyspark.sql import functions as F
 
-SCHEMA = "id long, part date, b1 long, b2 long, code string, num double, txt string"
+SCHEMA = "id long, part date, b1 long, b2 long, code string, num double, txt long"
 
 
 def edits(a, b):
@@ -52,7 +52,7 @@ def make(rng, n, block_size, digits):
                 rng.choice([lambda: c.insert(k, rng.choice("0123456789")), lambda: c.__delitem__(slice(k, k + 1)), lambda: c.__setitem__(slice(k, k + 1), "7")])()
             code = "".join(c)
         part = None if rng.random() < 0.02 else rng.choice(days)
-        out.append((i, part, rng.randrange(block_size) if rng.random() > 0.02 else None, 1, None if rng.random() < 0.02 else code, rng.choice([None, 1.0, 100.0]), rng.choice([None, "a", "b"])))
+        out.append((i, part, rng.randrange(block_size) if rng.random() > 0.02 else None, 1, None if rng.random() < 0.02 else code, rng.choice([None, 1.0, 100.0]), rng.choice([None, 1, 2])))
     return out
 
 
