@@ -22,6 +22,8 @@ from nightledger.session import remove_path, ship_package, store
 NONE = "(none)"
 #: Term tables up to this many rows are broadcast; larger ones are joined by shuffle.
 BROADCAST_TERMS = 200_000
+#: Texts cut at once, so that a worker holds few of them as words.
+_SLICE = 500
 _TAG = re.compile(r"<[^>]{0,200}>")
 _END = re.compile(r"(?<=[.!?…。！？])[\"»”’)\]]*\s+|\n+")
 _WORD = re.compile(r"[^\W\d_]{2,}")
@@ -36,9 +38,10 @@ class Rules:
     least_term_count: float = 3.0
     least_ratio: float = 18.0  # likelihood ratio of a term's spread over the subjects
     least_purity: float = 0.35  # a term's share in its main subject
+    least_part: float = 0.25  # a term's share in any other subject that it speaks for
     smoothing: float = 2.0
-    label_score: float = 1.0  # from which a passage carries its best subject
-    teach_score: float = 1.5  # from which it teaches its terms
+    label_score: float = 0.6  # from which a passage carries its best subject; a term of that subject only gives 1
+    teach_score: float = 0.75  # from which it teaches its terms
     share: float = 0.2
     least_passages: int = 2  # one passage is a passing mention, unless the document has hardly more
     short_document: int = 3
@@ -60,7 +63,7 @@ def passages(documents: DataFrame, doc_id: str, text: str, least_words: int) ->
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (b.slice(k, _SLICE) for b in batches for k in range(0, b.num_rows, _SLICE)):
             docs, counts, terms = [], [], []
             for doc, raw in zip(batch.column(0), batch.column(1)):
                 found = passages_of(raw.as_py(), least_words)
@@ -75,7 +78,10 @@ def passages(documents: DataFrame, doc_id: str, text: str, least_words: int) ->
 
 
 def term_weights(counts: DataFrame, rules: Rules) -> DataFrame:
-    """(term, label, weight) of verified terms, from (term, label, c): log of how far a label's share exceeds the usual."""
+    """(term, label, weight) of verified terms, from (term, label, c).
+
+    The weight is the log of how far the label's share exceeds the usual, over what it is for a share of 1.
+    """
     # one row a label
     totals = {r["label"]: r["c"] for r in counts.groupBy("label").agg(F.sum("c").alias("c")).collect()}
     whole = sum(totals.values())
@@ -88,7 +94,8 @@ def term_weights(counts: DataFrame, rules: Rules) -> DataFrame:
     kept = each.where((F.col("total") >= rules.least_term_count) & (ratio >= rules.least_ratio) & (pure >= rules.least_purity))
     rows = kept.select("term", "total", F.inline("by"))
     weight = F.log((F.col("c") + rules.smoothing * F.col("p")) / (F.col("total") + rules.smoothing) / F.col("p"))
-    return rows.select("term", "label", weight.alias("weight")).where("weight > 0")
+    weight = weight / F.greatest(-F.log("p"), F.lit(1e-9))
+    return rows.where(F.col("c") >= F.col("total") * rules.least_part).select("term", "label", weight.alias("weight")).where("weight > 0")
 
 
 def passage_labels(cut: DataFrame, weights: DataFrame, least_score: float) -> DataFrame:

@@ -31,6 +31,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 LEXICON_WORDS = 65_536
 #: Words a worker remembers besides, and distinct words it counts before it hands the counts on.
 _REMEMBERED, _COUNTED = 50_000, 200_000
+#: Texts encoded at once, so that a worker holds few of them as ids.
+_SLICE = 500
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -213,7 +215,7 @@ def encode_column(texts: DataFrame, key: str, column: str, vocabulary: str = DEF
         split = regex.compile(pattern).findall
         lexicon, known = Transducer(SparkFiles.get(name)), load_ranks(SparkFiles.get(copy))
         memory: dict[str, list[int]] = {}
-        for batch in batches:
+        for batch in (b.slice(k, _SLICE) for b in batches for k in range(0, b.num_rows, _SLICE)):
             ids: list[int] = []
             ends = [0]
             for text in batch.column(1):
