@@ -163,13 +163,17 @@ def similar_sets(sets: DataFrame, threshold: float = 0.8, least_size: int = 1) -
 
 
 def distinct_sets(records: DataFrame, record_id: str, tokens: Column, least_size: int) -> tuple[DataFrame, DataFrame]:
-    """Records of one and the same set as one class: (sets of ``set_id``, ``tokens``; members of ``set_id``, ``id``).
+    """Records of one and the same set as one class: (sets of ``name``, ``set_id``, ``tokens``; members of ``set_id``, ``id``).
 
-    A class is named by the MD5 of its sorted tokens. Records with under ``least_size`` tokens take no part.
+    A class is named by the MD5 of its sorted tokens, and numbered for the joins, where a long is a quarter
+    of a name. Records with under ``least_size`` tokens or without an id take no part; repeated rows count once.
     """
-    d = records.select(F.col(record_id).alias("id"), tokens.alias("tokens")).where(F.size("tokens") >= max(1, least_size))
-    d, _ = store(d.withColumn("set_id", F.md5(F.array_join("tokens", "\x1f"))), "record-sets")
-    return d.groupBy("set_id").agg(F.first("tokens").alias("tokens")), d.select("set_id", "id")
+    d = records.select(F.col(record_id).alias("id"), tokens.alias("tokens")).where(F.col("id").isNotNull() & (F.size("tokens") >= max(1, least_size)))
+    d, _ = store(d.withColumn("name", F.md5(F.array_join("tokens", "\x1f"))), "record-sets")
+    sets = d.groupBy("name").agg(F.first("tokens").alias("tokens"))
+    sets, _ = store(sets.withColumn("set_id", F.monotonically_increasing_id()), "distinct-sets")
+    members, _ = store(d.select("name", "id").distinct().join(sets.select("name", "set_id"), "name").select("set_id", "id"), "set-members")
+    return sets, members
 
 
 def similar_records(records: DataFrame, record_id: str, tokens: Column, threshold: float = 0.8, least_size: int = 1) -> DataFrame:
@@ -180,9 +184,7 @@ def similar_records(records: DataFrame, record_id: str, tokens: Column, threshol
     of one class are pairs of similarity 1. Rows with a null id take no part; an id given twice with
     one set pairs once with others and never with itself.
     """
-    sets, members = distinct_sets(records.where(F.col(record_id).isNotNull()), record_id, tokens, least_size)
-    members = members.distinct()
-    sets, _ = store(sets, "distinct-sets")
+    sets, members = distinct_sets(records, record_id, tokens, least_size)
     links = similar_sets(sets, threshold, least_size)
     ma = members.select(F.col("set_id").alias("a"), F.col("id").alias("x"))
     mb = members.select(F.col("set_id").alias("b"), F.col("id").alias("y"))
@@ -192,9 +194,9 @@ def similar_records(records: DataFrame, record_id: str, tokens: Column, threshol
 
 
 def classes_with_links(records: DataFrame, record_id: str, tokens: Column, threshold: float = 0.8, least_size: int = 1) -> DataFrame:
-    """One row for each record that takes part: ``id``, ``set_id`` and ``links``, the other classes similar to its own."""
-    sets, members = distinct_sets(records.where(F.col(record_id).isNotNull()), record_id, tokens, least_size)
-    sets, _ = store(sets, "distinct-sets")
+    """One row for each record that takes part: ``id``, its class ``set_id`` (by name) and ``links``, the other classes similar to its own."""
+    sets, members = distinct_sets(records, record_id, tokens, least_size)
     links = similar_sets(sets, threshold, least_size)
     counts = links.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count("*").alias("links"))
-    return members.distinct().join(counts, "set_id", "left").select("id", "set_id", F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+    named = sets.select("set_id", "name").join(counts, "set_id", "left")
+    return members.join(named, "set_id").select("id", F.col("name").alias("set_id"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))

@@ -46,7 +46,7 @@ def test_longer_prefixes_where_tokens_are_common(spark, rows, monkeypatch):
     keep = set_pairs._chosen_sizes
     monkeypatch.setattr(set_pairs, "_chosen_sizes", lambda *a: chosen.update(keep(*a)) or dict(chosen))
     rng = random.Random(4)
-    records = [(i, [f"t{x}" for x in rng.sample(range(24), 15)], None) for i in range(700)]
+    records = [(i, [f"t{x}" for x in rng.sample(range(45), 12)], None) for i in range(900)]
     df = spark.createDataFrame(records, "id long, x array<string>, y array<string>")
     got = set_pairs.similar_records(df, "id", value_set("x", "y"), 0.8, 5).select("id_a", "id_b")
     assert rows(got) == brute(records, 0.8, 5)
