@@ -5,6 +5,9 @@ from terms to passages, each step a DataFrame join; no pair of documents is ever
 spread over the subjects is verified to be no chance (likelihood ratio) are nodes. Seeds are the hand
 labels; a passage of a labelled document can only carry labels of that document. A document keeps every
 subject that enough of its passages carry.
+
+Every distinct passage is one node, however many documents hold it, so that copies of a text, exact or nearly
+so, have one vote together; its label goes back to all documents that hold it.
 """
 
 from __future__ import annotations
@@ -58,7 +61,7 @@ def passages_of(text: str, least_words: int) -> list[list[str]]:
 
 
 def passages(documents: DataFrame, doc_id: str, text: str, least_words: int) -> DataFrame:
-    """(doc, n, terms): a row for each passage; n is the number of passages in the document."""
+    """(doc, n, terms, p): a row for each passage; n is the number of passages in the document, p a hash of the passage's terms."""
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -74,7 +77,8 @@ def passages(documents: DataFrame, doc_id: str, text: str, least_words: int) ->
 
     kind = documents.schema[doc_id].dataType.simpleString()
     d = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null")
-    return d.mapInArrow(cut, f"doc {kind}, n int, terms array<string>")
+    # terms hold no blanks
+    return d.mapInArrow(cut, f"doc {kind}, n int, terms array<string>").withColumn("p", F.unhex(F.md5(F.array_join("terms", " "))))
 
 
 def term_weights(counts: DataFrame, rules: Rules) -> DataFrame:
@@ -99,13 +103,14 @@ def term_weights(counts: DataFrame, rules: Rules) -> DataFrame:
 
 
 def passage_labels(cut: DataFrame, weights: DataFrame, least_score: float) -> DataFrame:
-    """(doc, n, p, label) of the passages whose best label reaches the score; the greater label wins a tie."""
+    """(p, label) of the distinct passages whose best label reaches the score; the greater label wins a tie."""
     if weights.count() <= BROADCAST_TERMS:
         weights = F.broadcast(weights)
-    met = cut.select("doc", "n", "p", F.explode("terms").alias("term")).join(weights, "term")
-    sums = met.groupBy("doc", "n", "p", "label").agg(F.round(F.sum("weight"), 9).alias("score"))
-    best = sums.groupBy("doc", "n", "p").agg(F.max(F.struct("score", "label")).alias("best"))
-    return best.where(F.col("best.score") > least_score).select("doc", "n", "p", F.col("best.label").alias("label"))
+    met = cut.select("p", F.explode("terms").alias("term")).join(weights, "term")
+    sums = met.groupBy("p", "label").agg(F.round(F.sum("weight"), 9).alias("score"))
+    best = sums.groupBy("p").agg(F.max(F.struct("score", "label")).alias("best"))
+    return best.where(F.col("best.score") > least_score).select("p", F.col("best.label").alias("label"))
+
 
 
 def subjects(
@@ -123,25 +128,36 @@ def subjects(
     rules = rules or Rules()
     spark = documents.sparkSession
     ship_package(spark)
-    cut, cut_path = store(passages(documents, doc_id, text, rules.least_words), "passages")
-    # numbered after the rows are fixed, so that a lost task gives the same numbers again
-    cut, numbered_path = store(cut.withColumn("p", F.monotonically_increasing_id()), "passages")
-    remove_path(spark, cut_path)
+    given = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null")
+    given = given.withColumn("copy", F.unhex(F.sha2("text", 256)))
+    copies, _ = store(given.select("doc", "copy"), "copies")
+    held, _ = store(passages(given.dropDuplicates(["copy"]), "copy", "text", rules.least_words).withColumnRenamed("doc", "copy"), "passages")
+    cut, _ = store(held.select("p", "terms").dropDuplicates(["p"]), "distinct-passages")
     listed = [r[0] for r in areas.select(subject).where(F.col(subject).isNotNull()).distinct().collect()]
     seeds = labels.select(F.col(label_doc).alias("doc"), F.coalesce(subject, F.lit(NONE)).alias("label")).where(F.col("doc").isNotNull() & F.col("label").isin([*listed, NONE]))
-    seeds, _ = store(seeds.groupBy("doc").agg(F.collect_set("label").alias("own")), "seeds")
-    taught = cut.join(seeds, "doc").select(F.explode("terms").alias("term"), "own").select("term", F.explode("own").alias("label"), (1.0 / F.size("own")).alias("c"))
+    seeds = seeds.groupBy("doc").agg(F.collect_set("label").alias("own"))
+    # a text's labels are averaged over its labelled copies, a passage's over the labelled texts that hold it
+    own = seeds.join(copies, "doc").select("copy", "doc", F.explode("own").alias("label"), (1.0 / F.size("own")).alias("c"))
+    own = own.groupBy("copy").agg(F.count_distinct("doc").alias("docs"), F.collect_list(F.struct("label", "c")).alias("by")).select("copy", "docs", F.inline("by"))
+    own = own.groupBy("copy", "label").agg((F.sum("c") / F.max("docs")).alias("c"))
+    each = held.select("copy", "p").distinct().join(own, "copy")
+    each = each.groupBy("p").agg(F.count_distinct("copy").alias("texts"), F.collect_list(F.struct("label", "c")).alias("by")).select("p", "texts", F.inline("by"))
+    each = each.groupBy("p", "label").agg((F.sum("c") / F.max("texts")).alias("c"))
+    seeds, _ = store(each.groupBy("p").agg(F.collect_list(F.struct("label", "c")).alias("own")), "seeds")
+    taught = cut.join(seeds, "p").select(F.explode("terms").alias("term"), "own").select("term", F.inline("own"))
     weights, weights_path = store(term_weights(taught.groupBy("term", "label").agg(F.sum("c").alias("c")), rules), "term-weights")
     for _ in range(rules.rounds - 1):
         carried = passage_labels(cut, weights, rules.teach_score).select("p", "label")
-        d = cut.join(carried, "p").join(seeds, "doc", "left")
-        d = d.where(F.col("own").isNull() | (F.col("label") == NONE) | F.array_contains("own", F.col("label")))
+        d = cut.join(carried, "p").join(seeds, "p", "left")
+        d = d.where(F.col("own").isNull() | (F.col("label") == NONE) | F.array_contains("own.label", F.col("label")))
         counts = d.select(F.explode("terms").alias("term"), "label").groupBy("term", "label").agg(F.count("*").cast("double").alias("c"))
         counts, counts_path = store(counts, "term-counts")
         nxt, next_path = store(term_weights(counts, rules), "term-weights")
         for p in (counts_path, weights_path):
             remove_path(spark, p)
         weights, weights_path = nxt, next_path
-    found = passage_labels(cut, weights, rules.label_score).groupBy("doc", "n", "label").agg(F.count("*").alias("k"))
+    found = held.select("copy", "n", "p").join(passage_labels(cut, weights, rules.label_score), "p")
+    found = found.groupBy("copy", "n", "label").agg(F.count("*").alias("k"))
+    found = found.join(copies, "copy").groupBy("doc", "n", "label").agg(F.sum("k").alias("k"))
     treated = (F.col("label") != NONE) & (F.col("k") >= F.col("n") * rules.share - 1e-9) & ((F.col("k") >= rules.least_passages) | (F.col("n") <= rules.short_document))
     return found.where(treated).select(F.col("doc").alias("doc_id"), F.col("label").alias("subject"), (F.col("k") / F.col("n")).alias("share"))

@@ -53,3 +53,27 @@ def test_nothing_to_propagate(spark):
     none = spark.createDataFrame([], "doc_id long, subject string")
     assert sj.subjects(df, "doc_id", "text", areas, none, "doc_id", "subject").collect() == []
     assert sj.subjects(df.limit(0), "doc_id", "text", areas, none, "doc_id", "subject").collect() == []
+
+
+def test_copies_do_not_change_other_documents(spark):
+    rng = random.Random(5)
+    docs, truth = corpus(rng, 200)
+    # one text that treats law in terms of food, copied often: exactly, and with another last line
+    mixed = " ".join("Nothing else was " + " ".join(rng.sample(TERMS["food"], 2) + rng.sample(TERMS["law"], 4)) + "." for _ in range(6))
+    docs.append((1000, mixed))
+    copies = [(1001 + i, mixed if i % 2 else f"{mixed} Maybe there was {TERMS['law'][i % 16]} again.") for i in range(2000)]
+    # copies of a labelled text, labelled as well
+    labelled = [(5000 + i, docs[0][1]) for i in range(300)]
+    labels = [(d, s) for d in range(40) for s in (sorted(truth[d]) or [None])]
+    more = [(d, s) for d, _ in labelled for s in (sorted(truth[0]) or [None])]
+    areas = spark.createDataFrame([(s,) for s in TERMS], "subject string")
+
+    def found(docs, labels):
+        df, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, subject string")
+        return {(r["doc_id"], r["subject"], round(r["share"], 9)) for r in sj.subjects(df, "doc_id", "text", areas, lab, "doc_id", "subject").collect()}
+
+    once = found(docs + copies[:2], labels)
+    many = found(docs + copies + labelled, labels + more)
+    assert {x for x in many if x[0] < 1000} == {x for x in once if x[0] < 1000}
+    of = lambda d: {x[1:] for x in many if x[0] == d}
+    assert of(1000) and all(of(d) == of(1000) for d, t in copies if t == mixed) and all(of(d) == of(0) for d, _ in labelled)
