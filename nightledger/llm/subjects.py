@@ -3,8 +3,8 @@
 Two passages are similar through the terms they have in common, so labels pass from passages to terms and
 from terms to passages, each step a DataFrame join; no pair of documents is ever built. Only terms whose
 spread over the subjects is verified to be no chance (likelihood ratio) are nodes. Seeds are the hand
-labels; a passage of a labelled document can only carry labels of that document. A document keeps every
-subject that enough of its passages carry.
+labels; while terms are counted, a passage of a labelled document can only teach labels of that document. The
+result is not clamped: labelled documents too keep every subject that enough of their passages carry.
 
 Every distinct passage is one node, however many documents hold it, so that copies of a text, exact or nearly
 so, have one vote together; its label goes back to all documents that hold it.
