@@ -34,7 +34,10 @@ _WORD = re.compile(r"[^\W\d_]{2,}")
 
 @dataclass(frozen=True)
 class Rules:
-    """``rounds`` counts the estimates of the terms: the first from seeds alone, each further from all passages."""
+    """``rounds`` counts the estimates of the terms: the first from seeds alone, each further from all passages.
+
+    Two rounds are one step of propagation; the terms settle in round 5 or so, but later rounds add wrong rows.
+    """
 
     rounds: int = 2
     least_words: int = 4  # in a passage; shorter lines are titles and greetings
