@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from nightledger.session import ship_package
 
 _UNSEEN = {"script", "style", "noscript"}
+#: A link to a room of the same page.
+_ROOM = re.compile(r"#RD([0-9]+)")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -80,7 +83,10 @@ def visible_text(pages: DataFrame, html: str, name: str) -> DataFrame:
 
 
 def links(pages: DataFrame, page: str, html: str) -> DataFrame:
-    """(page, position, href, text): each page's links, the first of each target without query and fragment."""
+    """(page, position, href, text): each page's links, the first of each target.
+
+    Targets are cut before query and fragment, but those within the page (``#...``) are whole.
+    """
     ship_package(pages.sparkSession)
     kind = pages.schema[page].dataType.simpleString()
 
@@ -95,9 +101,37 @@ def links(pages: DataFrame, page: str, html: str) -> DataFrame:
                 p.close()
                 seen = {}
                 for href, text in p.found:
-                    seen.setdefault(href.split("?")[0].split("#")[0], text)
+                    seen.setdefault(href if href.startswith("#") else href.split("?")[0].split("#")[0], text)
                 rows += [(i, n, u, t) for n, (u, t) in enumerate(seen.items(), 1)]
             cols = list(zip(*rows)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.column(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=["page", "position", "href", "text"])
 
     return pages.select(F.col(page).alias("page"), F.col(html).alias("html")).mapInArrow(parse, f"page {kind}, position int, href string, text string")
+
+
+def room_inventory(pages: DataFrame, page: str, html: str) -> DataFrame:
+    """(page, position, room_id, room_name): a row for each distinct ``#RD<digits>`` link of a page.
+
+    The first link of a room that shows a name counts; links without any are left out.
+    """
+    ship_package(pages.sparkSession)
+    kind = pages.schema[page].dataType.simpleString()
+
+    def parse(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            rows = []
+            for i, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                p = _Links()
+                p.feed(h or "")
+                p.close()
+                seen = {}
+                for href, text in p.found:
+                    if text and (m := _ROOM.match(href)):
+                        seen.setdefault(m[1], text)
+                rows += [(i, n, r, t) for n, (r, t) in enumerate(seen.items(), 1)]
+            cols = list(zip(*rows)) if rows else [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.column(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=["page", "position", "room_id", "room_name"])
+
+    return pages.select(F.col(page).alias("page"), F.col(html).alias("html")).mapInArrow(parse, f"page {kind}, position int, room_id string, room_name string")

@@ -69,3 +69,10 @@ def test_broken_html(spark, rows):
     got = {r["id"]: r["t"] for r in html.visible_text(df, "html", "t").collect()}
     assert got[2] is None and got[1].startswith("one") and "no" not in got[1].split()
     assert rows(html.links(df, "id", "html").select("page", "position", "href", "text")) == [(3, 1, "/x", "A b")]
+
+
+def test_rooms_of_a_page(spark, rows):
+    page = "<a href='#RD12'> </a><a href='#RD12'>Double <b>Room</b></a><a href='#RD7'>Studio</a><a href='#RD12'>Again</a><a href='#RDx'>x</a><a href='/p#RD9'>other page</a><a href='#map'>Map</a>"
+    df = spark.createDataFrame([(1, page), (2, None), (3, "<a href='#RD7'>Suite</a>")], "id int, html string")
+    assert rows(html.room_inventory(df, "id", "html")) == [(1, 1, "12", "Double Room"), (1, 2, "7", "Studio"), (3, 1, "7", "Suite")]
+    assert [r[2] for r in rows(html.links(df.where("id = 1"), "id", "html"))] == ["#RD12", "#RD7", "#RDx", "/p", "#map"]
