@@ -104,7 +104,7 @@ def sca12_canonical_url(spark, folder):
     where price_per_night > 0 and not isnan(price_per_night) and price_per_night < 1e7"""
 )
 def sca02_price_text(spark, folder):
-    d = _offers(spark, folder).where((F.col("price_per_night") > 0) & (F.col("price_per_night") < 1e7))
+    d = _offers(spark, folder).where(fo.valid_price("price_per_night").isNotNull())
     us = F.concat(F.lit("EUR "), F.format_number("price_per_night", 2))
     eu = F.concat(F.translate(F.format_number("price_per_night", 2), ",.", ".,"), F.lit(" €"))
     return d.select("observation_id", fo.parse_price(us).alias("us_style"), fo.parse_price(eu).alias("eu_style"))
@@ -115,7 +115,7 @@ def sca02_price_text(spark, folder):
     from price_observations where not isnan(current_price_value) and abs(current_price_value) < 1e9"""
 )
 def sca03_nightly(spark, folder):
-    d = _offers(spark, folder).where(~F.isnan("current_price_value") & (F.abs("current_price_value") < 1e9))
+    d = _offers(spark, folder).where(F.col("current_price_value").isNotNull() & ~F.isnan("current_price_value"))
     return d.select("observation_id", fo.nightly("current_price_value", "stay_length_days").alias("nightly"))
 
 
@@ -217,7 +217,7 @@ def _rounded(d: DataFrame) -> DataFrame:
 
 @query(f"select market, count(*) as n, min(v) as least, round(avg(v), 6) as mean, max(v) as greatest, {_DIST} from (select market, {_PRICE} as v from price_observations) where v is not null and v < 1e6 group by 1")
 def agg05_price_distribution(spark, folder):
-    d = _offers(spark, folder).where(F.col("price_per_night") < 1e6)
+    d = _offers(spark, folder)
     return _rounded(quantiles.distribution(d, ["market"], fo.valid_price("price_per_night")))
 
 

@@ -113,3 +113,14 @@ def test_least_squares_hc3_and_folds(spark):
     g = spark.range(0, 300).select((F.col("id") % 17).cast("string").alias("g"))
     folds = models.group_folds(g, "g", 5).collect()
     assert len(folds) == 17 and {r["fold"] for r in folds} == set(range(5))
+
+
+def test_absurd_prices_count(spark, tmp_path, rows):
+    from nightledger.plans import reference
+
+    data = [(1, "a", 100.0, 3e9, 2), (2, "a", 25e6, math.nan, 1), (3, "a", math.nan, None, 1), (4, "a", -1.0, 50.0, 1), (5, "a", None, 80.0, 0)]
+    spark.createDataFrame(data, "observation_id long, market string, price_per_night double, current_price_value double, stay_length_days int").write.parquet(str(tmp_path / "price_observations.parquet"))
+    got = reference.agg05_price_distribution(spark, str(tmp_path)).first()
+    assert (got["n"], got["least"], got["greatest"], got["mean"]) == (2, 100.0, 25e6, 12500050.0)
+    assert rows(reference.sca02_price_text(spark, str(tmp_path))) == [(1, 100.0, 100.0), (2, 25e6, 25e6)]
+    assert rows(reference.sca03_nightly(spark, str(tmp_path))) == [(1, 1.5e9), (4, 50.0), (5, None)]
