@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from nightledger.functions import offers as fo
 from nightledger.functions.text import canonical_url, value_set
 from nightledger.operators import models, quantiles, relational, summaries, validation
 from nightledger.operators.spatial import haversine_km, near_pairs, usable
+from nightledger.session import store
 from nightledger.sources.tables import table
 from nightledger.streaming.history import run_once, windowed_counts
 
@@ -542,6 +544,33 @@ def ml06_least_squares(spark, folder):
     return spark.createDataFrame([(n, round(c, 4)) for n, c in zip(m.names, m.coefficients)], "feature string, coefficient double")
 
 
+_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _log_prices(spark, folder):
+    d = table(spark, folder, "lineitem").where(fo.valid_price("l_extendedprice").isNotNull())
+    return d.select("l_orderkey", *[F.col(c).cast("double").alias(c) for c in _LINE_FEATURES], F.log("l_extendedprice").alias("y"))
+
+
+@query()
+def ml06_hc3(spark, folder):
+    """Coefficients of log price on several features, with HC3 errors."""
+    m = models.least_squares(_log_prices(spark, folder), _LINE_FEATURES, "y")
+    return spark.createDataFrame([(n, round(c, 9), round(e, 9)) for n, c, e in zip(m.names, m.coefficients, m.errors)], "feature string, coefficient double, error double")
+
+
+@query()
+def ml16_conformal_offsets(spark, folder):
+    """The band of four fifths of the log residuals, each of a model that was fitted without the row's order."""
+    d = _log_prices(spark, folder)
+    d, _ = store(d.join(models.group_folds(d, "l_orderkey", 5), "l_orderkey"), "folded")
+    held = []
+    for k in range(5):
+        m = models.least_squares(d.where(F.col("fold") != k), _LINE_FEATURES, "y")
+        held.append(d.where(F.col("fold") == k).select((F.col("y") - m.predict()).alias("r")))
+    return _rounded(models.conformal_offsets(reduce(DataFrame.unionByName, held), "r", 0.8))
+
+
 @query("select spec_id, (star_rating is null or isnan(star_rating))::int as star_rating_missing, case when star_rating is null or isnan(star_rating) then (select quantile_cont(star_rating, 0.5) from client_specs where not isnan(star_rating)) else star_rating end as star_rating from client_specs")
 def ml03_imputed(spark, folder):
     d = table(spark, folder, "client_specs").select("spec_id", "star_rating")

@@ -124,3 +124,30 @@ def test_absurd_prices_count(spark, tmp_path, rows):
     assert (got["n"], got["least"], got["greatest"], got["mean"]) == (2, 100.0, 25e6, 12500050.0)
     assert rows(reference.sca02_price_text(spark, str(tmp_path))) == [(1, 100.0, 100.0), (2, 25e6, 25e6)]
     assert rows(reference.sca03_nightly(spark, str(tmp_path))) == [(1, 1.5e9), (4, 50.0), (5, None)]
+
+
+def test_hc3_and_held_out_band_of_prices(spark, tmp_path):
+    from nightledger.plans import reference
+
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(1, 50, 600), rng.integers(0, 10, 600) / 100, rng.integers(0, 8, 600) / 100]).astype(float)
+    order = np.arange(600) // 3
+    y = 5 + x @ [0.02, -1.0, 2.0] + rng.normal(size=600) * 0.3
+    data = [(int(o), *map(float, a), float(np.exp(b))) for o, a, b in zip(order, x, y)] + [(900, 1.0, 0.0, 0.0, math.nan), (901, 1.0, 0.0, 0.0, -5.0)]
+    spark.createDataFrame(data, "l_orderkey long, l_quantity double, l_discount double, l_tax double, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    z = np.column_stack([np.ones(600), x])
+
+    def fit(rows):
+        return np.linalg.lstsq(z[rows], y[rows], rcond=None)[0]
+
+    got = {r["feature"]: (r["coefficient"], r["error"]) for r in reference.ml06_hc3(spark, str(tmp_path)).collect()}
+    inv = np.linalg.inv(z.T @ z)
+    h = np.einsum("ij,jk,ik->i", z, inv, z)
+    meat = z.T @ (z * (((y - z @ fit(slice(None))) / (1 - h)) ** 2)[:, None])
+    want = dict(zip(["(constant)", "l_quantity", "l_discount", "l_tax"], zip(fit(slice(None)), np.sqrt(np.diag(inv @ meat @ inv)))))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-8) for k in want)
+    fold = {r["l_orderkey"]: r["fold"] for r in models.group_folds(spark.createDataFrame([(int(o),) for o in order], "l_orderkey long"), "l_orderkey", 5).collect()}
+    folds = np.array([fold[int(o)] for o in order])
+    held = np.concatenate([y[folds == k] - z[folds == k] @ fit(folds != k) for k in range(5)])
+    band = reference.ml16_conformal_offsets(spark, str(tmp_path)).first()
+    assert (band["lower"], band["upper"]) == pytest.approx(tuple(np.quantile(held, [0.1, 0.9])), abs=2e-6)
