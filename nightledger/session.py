@@ -58,10 +58,44 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/nightledger/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _on_files(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    fs, target = _on_files(spark, path)
+    fs.delete(target, True)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file, which readers see whole or not at all."""
+    fs, target = _on_files(spark, path)
+    _, part = _on_files(spark, f"{path}.part-{uuid.uuid4().hex[:8]}")
+    out = fs.create(part, True)
+    try:
+        for k in range(0, len(data), 1 << 20):
+            out.write(bytearray(data[k : k + (1 << 20)]))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"can't write {path}")
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    fs, target = _on_files(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none where it is missing."""
+    fs, target = _on_files(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []
 
 
 def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> tuple[DataFrame, str]:
