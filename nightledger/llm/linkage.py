@@ -1,10 +1,14 @@
 """Deduplicating new batches against everything accepted before, without reading all of it again.
 
 The history is a table of blocking keys: one row for each distinct code of a block, with the first record
-that bore it, partitioned by the snapshot the records belong to. A batch reads the partitions of its own
-snapshots only, meets them within blocks, scores the pairs by weights learned from pairs, and appends what
-is new. Each code carries the representative that its cluster had when it came; where a batch joins
-clusters, the absorbed representatives are entered in a table of merges, and nothing else is touched.
+that bore it, laid down by batch and by the snapshot the records belong to. A batch reads the snapshots that
+it has rows of, and only what lies in its own blocks leaves the scan: the batch moves, the history doesn't.
+Pairs within blocks are compared field by field; weights learned from all pairs so far score them. Each code
+carries the representative that its cluster had when it came; where a batch joins clusters, the absorbed
+representatives are entered in a table of merges, and nothing else is touched.
+
+A batch counts once its commit file is written, last of all: what a failed attempt left behind is never read,
+and the batch can simply be accepted again.
 """
 
 from __future__ import annotations
@@ -12,23 +16,31 @@ from __future__ import annotations
 import json
 import math
 from collections import Counter
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import date
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nightledger.functions.text import canonical_url, digits_only, finite, null_marked
-from nightledger.session import new_table_path, remove_path, ship_package, store
+from nightledger.session import list_names, new_table_path, read_bytes, remove_path, ship_package, store, write_bytes
 
 #: Blocks of more codes than this are joined by deletion variants instead of all against all.
 HOT_BLOCK = 200
 #: Codes up to this long have their variants enumerated; longer ones in a hot block meet by block and length.
 VARIANT_LENGTH = 64
+#: Blocks of a batch, and groups with links, up to which they are broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 200_000
+#: Batches whose rows of one snapshot lie side by side before they are written together.
+MAX_GENERATIONS = 12
 KEY = ["part", "b1", "b2"]
 _STATE = "b1 long, b2 long, code string, first_id long, num double, txt long, rep long, part date"
-_MERGES = "member long, representative long, batch int, part date"
+_MERGES = "part date, member long, representative long, batch int"
+_ROWS = "id long, member long, repeat boolean"
+_LINKS = "id long, other long, pattern int"
 
 
 def edit_level(a: Column, b: Column) -> Column:
@@ -48,34 +60,48 @@ def text_level(a: Column, b: Column) -> Column:
 
 
 LEVELS = {"edits": 4, "number": 4, "text": 3}
+PATTERNS = math.prod(LEVELS.values())
+
+
+def pattern_of(levels: dict[str, Column]) -> Column:
+    """One number for a combination of levels."""
+    out = F.lit(0)
+    for name, size in LEVELS.items():
+        out = out * size + levels[name]
+    return out
+
+
+def levels_of(pattern: int) -> tuple[int, ...]:
+    out = []
+    for size in reversed(LEVELS.values()):
+        pattern, level = divmod(pattern, size)
+        out.append(level)
+    return tuple(reversed(out))
 
 
 @dataclass
 class Weights:
-    """Log2 odds of each level of each field, and the score from which a pair is a candidate link."""
+    """Log2 odds of each level of each field, and the log2 odds of a match before any field is seen."""
 
     odds: dict[str, list[float]]
-    threshold: float
+    prior: float
 
-    def score(self, levels: dict[str, Column]) -> Column:
-        total = F.lit(0.0)
-        for name, level in levels.items():
-            total = total + F.element_at(F.array(*[F.lit(float(w)) for w in self.odds[name]]), level + 1)
-        return total
+    def scores(self) -> list[float]:
+        """The score of each pattern: the sum of its levels' odds and the prior; from 0 on a match is likelier than not."""
+        return [self.prior + sum(self.odds[n][v] for n, v in zip(LEVELS, levels_of(p))) for p in range(PATTERNS)]
 
 
-def learn_weights(patterns: list[tuple[tuple[int, int, int], float]], max_edits: int = 2, rounds: int = 20) -> Weights:
-    """Fellegi-Sunter weights by expectation-maximization over counted comparison patterns.
+def learn_weights(counts: Sequence[float], rounds: int = 20) -> Weights:
+    """Fellegi-Sunter weights by expectation-maximization over the counts of all patterns.
 
-    There are 48 patterns at most, whatever the number of pairs. The threshold is the least score of any
-    pattern within ``max_edits``: no pair that the exact check would accept is lost to the weights.
+    There are 48 patterns, whatever the number of pairs, so the counts of all batches add up in one list.
     """
     names = list(LEVELS)
     m = {n: [1.0] * k for n, k in LEVELS.items()}
     u = {n: [1.0] * k for n, k in LEVELS.items()}
     m["edits"], u["edits"] = [8.0, 6.0, 4.0, 1.0], [1.0, 1.0, 1.0, 8.0]
     share = 0.5
-    total = sum(c for _, c in patterns)
+    total = sum(counts)
     for d in (m, u):
         for n in names:
             d[n] = [x / sum(d[n]) for x in d[n]]
@@ -83,7 +109,8 @@ def learn_weights(patterns: list[tuple[tuple[int, int, int], float]], max_edits:
         mm = {n: [0.5] * k for n, k in LEVELS.items()}
         uu = {n: [0.5] * k for n, k in LEVELS.items()}
         hit = 0.0
-        for levels, count in patterns:
+        for pattern, count in enumerate(counts):
+            levels = levels_of(pattern)
             pm, pu = share, 1 - share
             for n, v in zip(names, levels):
                 pm, pu = pm * m[n][v], pu * u[n][v]
@@ -96,8 +123,7 @@ def learn_weights(patterns: list[tuple[tuple[int, int, int], float]], max_edits:
         u = {n: [x / sum(uu[n]) for x in uu[n]] for n in names}
         share = min(max(hit / total, 1e-6), 1 - 1e-6)
     odds = {n: [math.log2(a / b) for a, b in zip(m[n], u[n])] for n in names}
-    threshold = min(odds["edits"][: max_edits + 1]) + min(odds["number"]) + min(odds["text"]) - 1e-9
-    return Weights(odds, threshold)
+    return Weights(odds, math.log2(share / (1 - share)))
 
 
 def deletion_variants(code: Column) -> Column:
@@ -116,140 +142,203 @@ class IncrementalLinker:
 
     Batches have the columns ``id`` (long, rising from batch to batch), ``part`` (date), ``b1``, ``b2``
     (the block), ``code``, ``num``, ``txt`` (hash of a text). A record repeats another if both lie in one block and their
-    codes are at most two edits apart.
+    codes are at most ``max_edits`` edits apart, whatever the weights say; these score the links.
 
-    Defined results: records with a null among the block's fields or a null code are never repeats and
-    don't enter the history; an empty batch changes nothing; a record delivered twice is a repeat if its
-    ids differ.
+    Defined results: records with a null among the block's fields or a null code are never repeats, form
+    clusters of their own and don't enter the history; records without an id take no part; an empty batch
+    changes nothing; a record delivered twice is a repeat if its ids differ.
     """
 
     spark: SparkSession
     path: str
-    weights: Weights | None = None
     batch: int = 0
-    merged: bool = False
-    counted: bool = True  # whether ``largest`` knows all batches
-    largest: dict = field(default_factory=dict)
+    live: dict[str, list[str]] = field(default_factory=dict)  # snapshot: folders of the history that hold rows of it
+    merged: list[int] = field(default_factory=list)  # batches that entered merges
+    patterns: list[int] = field(default_factory=lambda: [0] * PATTERNS)
+    largest: dict[str, int] = field(default_factory=dict)  # snapshot: a bound of the codes in any of its blocks
+    max_edits: int = 2
+    max_generations: int = MAX_GENERATIONS
 
     @classmethod
     def create(cls, spark: SparkSession) -> IncrementalLinker:
         return cls(spark, new_table_path(spark, "linkage"))
 
     @classmethod
-    def resume(cls, spark: SparkSession, path: str, batch: int) -> IncrementalLinker:
-        """Go on from a folder in which ``batch`` batches were accepted."""
-        text = spark.read.text(f"{path}/weights").first()[0]
-        d = json.loads(text)
-        jvm = spark.sparkContext._jvm
-        merges = jvm.org.apache.hadoop.fs.Path(f"{path}/merges")
-        merged = merges.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(merges)
-        return cls(spark, path, Weights(d["odds"], d["threshold"]), batch, merged, False)
-
-    def _history(self, parts: list) -> DataFrame:
-        if self.batch == 0:
+    def resume(cls, spark: SparkSession, path: str) -> IncrementalLinker:
+        """Go on from a folder, after the last batch that was committed there."""
+        commits = [int(n) for n in list_names(spark, f"{path}/commits") if n.isdigit()]
+        return cls(spark, path, **(json.loads(read_bytes(spark, f"{path}/commits/{max(commits)}")) if commits else {}))
+
+    @property
+    def weights(self) -> Weights:
+        """Learned from the pairs of all batches so far."""
+        return learn_weights(self.patterns)
+
+    def _commit(self) -> None:
+        state = {"batch": self.batch, "live": self.live, "merged": self.merged, "patterns": self.patterns, "largest": self.largest}
+        write_bytes(self.spark, f"{self.path}/commits/{self.batch}", json.dumps(state).encode())
+
+    def _history(self, parts: Sequence[str]) -> DataFrame:
+        """Committed codes of the given snapshots."""
+        folders = [f"{self.path}/history/gen={g}/part={p}" for p in parts for g in self.live.get(p, [])]
+        if not folders:
             return self.spark.createDataFrame([], _STATE)
-        return self.spark.read.schema(_STATE).parquet(f"{self.path}/history").where(F.col("part").isin(parts))
+        return self.spark.read.schema(_STATE).option("basePath", f"{self.path}/history").parquet(*folders).drop("gen")
 
     def accept(self, rows: DataFrame) -> DataFrame | None:
         """Link a batch, take it into the history, and return the ids of its repeats (column ``id``)."""
         ship_package(self.spark)
-        rows = rows.where(F.col("part").isNotNull() & F.col("b1").isNotNull() & F.col("code").isNotNull())
+        rows = rows.where(F.col("id").isNotNull())
+        whole = F.col("part").isNotNull() & F.col("b1").isNotNull() & F.col("code").isNotNull()
         groups, groups_path = store(
             # all of fixed width, so that it combines by hash before the shuffle
-            rows.groupBy(*KEY, "code").agg(F.min("id").alias("first_id"), F.min_by("num", "id").alias("num"), F.min_by("txt", "id").alias("txt")),
+            rows.where(whole)
+            .groupBy(*KEY, "code")
+            .agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("*").alias("n"), F.min_by("num", "id").alias("num"), F.min_by("txt", "id").alias("txt")),
             "batch-groups",
         )
-        # one row for each snapshot that the batch holds rows of, with its largest block
-        sizes = groups.groupBy(*KEY).agg(F.count("*").alias("codes")).groupBy("part").agg(F.max("codes").alias("codes"))
-        most = {r["part"]: r["codes"] for r in sizes.collect()}
-        parts = list(most)
-        if not parts:
-            remove_path(self.spark, groups_path)
-            return None
-        known = self._history(parts)
-        others = known.withColumn("known", F.lit(True)).unionByName(groups.withColumns({"known": F.lit(False), "rep": F.col("first_id")}))
+        # one row for each snapshot that the batch holds rows of
+        sizes = groups.groupBy(*KEY).agg(F.count("*").alias("codes"), F.count_if(F.col("n") > 2).alias("many"))
+        sizes = sizes.groupBy("part").agg(F.max("codes").alias("codes"), F.count("*").alias("blocks"), F.sum("many").alias("many"))
+        found = {r["part"].isoformat(): r for r in sizes.collect()}
+        old = [p for p in found if p in self.live]
+        members = groups.withColumns({"known": F.lit(False), "rep": F.col("first_id")}).drop("last_id", "n")
+        if old:
+            blocks = groups.where(F.col("part").isin([date.fromisoformat(p) for p in old])).select(*KEY).distinct()
+            if sum(found[p]["blocks"] for p in old) <= BROADCAST_ROWS:
+                blocks = F.broadcast(blocks)
+            known = self._history(old).join(blocks, KEY, "left_semi")
+            members = members.unionByName(known.withColumn("known", F.lit(True)).select(members.columns))
         temporary = [groups_path]
         # a block can't hold more codes than the largest ones of its batches together: most batches need no look
-        self.largest = {**self.largest, **{p: self.largest.get(p, 0 if self.counted else HOT_BLOCK) + n for p, n in most.items()}}
+        largest = self.largest | {p: self.largest.get(p, 0) + r["codes"] for p, r in found.items()}
         hot = None
-        if max(self.largest[p] for p in parts) > HOT_BLOCK:
-            found = others.groupBy(*KEY).agg(F.count("*").alias("codes")).where(F.col("codes") > HOT_BLOCK).select(*KEY)
-            if not found.isEmpty():
-                hot, hot_path = store(found, "hot-blocks")
-                temporary.append(hot_path)
-        pairs = self._pairs(groups, others, hot)
+        if max((largest[p] for p in found), default=0) > HOT_BLOCK:
+            many = members.groupBy(*KEY).agg(F.count("*").alias("codes")).where(F.col("codes") > HOT_BLOCK).select(*KEY)
+            hot, hot_path = store(many, "hot-blocks")
+            temporary.append(hot_path)
+            hot = None if hot.isEmpty() else hot
+        pairs = self._pairs(members, hot)
         levels = {"edits": edit_level(F.col("g.code"), F.col("o.code")), "number": number_level(F.col("g.num"), F.col("o.num")), "text": text_level(F.col("g.txt"), F.col("o.txt"))}
-        if self.weights is None:
-            counted = pairs.select(*[v.alias(k) for k, v in levels.items()]).groupBy(*levels).count().collect()
-            self.weights = learn_weights([(tuple(r[k] for k in LEVELS), float(r["count"])) for r in counted])
-            text = json.dumps({"odds": self.weights.odds, "threshold": self.weights.threshold})
-            self.spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/weights")
-        links = (
-            pairs.where(self.weights.score(levels) >= self.weights.threshold)
-            .where(levels["edits"] <= 2)  # the exact check
-            .select(*[F.col(f"g.{k}").alias(k) for k in KEY], F.col("g.code").alias("code"), F.col("g.first_id").alias("id"), F.col("o.first_id").alias("other"), F.col("o.rep").alias("rep"), F.col("o.known").alias("known"), (F.col("g.code") == F.col("o.code")).alias("same"))
-        )
-        links, links_path = store(links, "batch-links")
-        folded = self._fold_clusters(links, hot, parts)
-        reps = folded.where("not known").select(F.col("member").alias("first_id"), F.col("representative").alias("rep"), "joins")
-        least = links.groupBy(*KEY, "code").agg(F.min("other").alias("other"), F.max("same").alias("old"))
-        verdict = groups.join(least, [*KEY, "code"], "left").join(reps, "first_id", "left")
-        verdict = verdict.select(*KEY, "code", "first_id", "num", "txt", F.coalesce("rep", "first_id").alias("rep"), F.least("first_id", "other").alias("least_id"), F.coalesce("old", F.lit(False)).alias("old"), "joins")
+        pairs = pairs.select(*KEY, F.col("g.code").alias("code"), F.col("g.first_id").alias("id"), F.col("o.first_id").alias("other"), F.col("o.rep").alias("rep"), F.col("o.known").alias("known"), (F.col("g.code") == F.col("o.code")).alias("same"), pattern_of(levels).alias("pattern"))
+        seen = Observation()
+        pairs = pairs.observe(seen, *[F.count_if(F.col("pattern") == k).alias(f"p{k}") for k in range(PATTERNS)])
+        near = [k for k in range(PATTERNS) if levels_of(k)[0] <= self.max_edits]  # the exact check
+        links, links_path = store(pairs.where(F.col("pattern").isin(near)), "batch-links")
+        temporary.append(links_path)
+        counts = [int(seen.get[f"p{k}"]) for k in range(PATTERNS)] if found else [0] * PATTERNS
+        linked = sum(counts[k] for k in near)
         joined = Observation()
-        verdict, verdict_path = store(verdict.observe(joined, F.count_if("joins").alias("n")).drop("joins"), "batch-verdict")
-        if joined.get["n"]:
-            self._enter_merges(folded.where("known and member <> representative"), parts)
-        out = f"{self.path}/repeats/batch={self.batch}"
-        repeats = rows.join(verdict.select(*KEY, "code", "least_id"), [*KEY, "code"]).where(F.col("id") > F.col("least_id")).select("id")
-        fresh = verdict.where(~F.col("old")).select("b1", "b2", "code", "first_id", "num", "txt", "rep", "part")
-        with ThreadPoolExecutor(2) as both:  # two jobs that don't wait for each other
-            jobs = [both.submit(repeats.write.parquet, out), both.submit(fresh.write.mode("append").partitionBy("part").parquet, f"{self.path}/history")]
-            for j in jobs:
+        folded, folded_path = store(self._fold_clusters(links, hot, old).observe(joined, F.count_if(F.col("joins") & F.col("known")).alias("n")), "batch-clusters")
+        temporary.append(folded_path)
+        reps = folded.where("not known").groupBy(F.col("member").alias("first_id")).agg(F.min("representative").alias("rep"))
+        verdict = links.groupBy(*KEY, "code").agg(F.min("id").alias("first_id"), F.min("other").alias("other"), F.min(F.when(F.col("same"), F.col("other"))).alias("same_as"))
+        verdict = verdict.join(F.broadcast(reps) if linked <= BROADCAST_ROWS else reps, "first_id", "left").drop("first_id")
+        done = groups.join(F.broadcast(verdict) if linked <= BROADCAST_ROWS else verdict, [*KEY, "code"], "left")
+        done = done.withColumns({"least_id": F.least("first_id", "other"), "member": F.coalesce("same_as", "first_id")})
+        fresh = done.where(F.col("same_as").isNull()).select("b1", "b2", "code", "first_id", "num", "txt", F.coalesce("rep", "first_id").alias("rep"), "part")
+        row = lambda c: F.struct(F.col(c).alias("id"), F.col("member").alias("member"), (F.col(c) > F.col("least_id")).alias("repeat"))
+        # of a code with one or two rows all ids are known; the rows of others are looked up
+        out = done.select(F.inline(F.array_compact(F.array(F.when(F.col("other").isNotNull(), row("first_id")), F.when((F.col("n") == 2) & (F.col("last_id") > F.col("first_id")), row("last_id"))))))
+        many = sum(r["many"] for r in found.values())
+        if many:
+            more = done.where("n > 2").select(*KEY, "code", "first_id", "least_id", "member")
+            each = rows.where(whole).join(F.broadcast(more) if many <= BROADCAST_ROWS else more, [*KEY, "code"])
+            out = out.unionByName(each.where(F.col("id") > F.col("first_id")).select(row("id").alias("r")).select("r.*"))
+        out = out.unionByName(rows.where(~whole).select("id", F.col("id").alias("member"), F.lit(False).alias("repeat")))
+        to = {k: f"{self.path}/{k}/{name}={self.batch}" for k, name in (("history", "gen"), ("rows", "batch"), ("links", "batch"), ("merges", "batch"))}
+        jobs = [lambda: out.write.mode("overwrite").parquet(to["rows"])]
+        if found:
+            jobs += [lambda: fresh.write.mode("overwrite").partitionBy("part").parquet(to["history"]), lambda: links.select("id", "other", "pattern").write.mode("overwrite").parquet(to["links"])]
+        if found and joined.get["n"]:
+            merges = self._new_merges(folded.where("known and member <> representative"))
+            jobs.append(lambda: merges.write.mode("overwrite").parquet(to["merges"]))
+            self.merged = [*self.merged, self.batch]
+        with ThreadPoolExecutor(len(jobs)) as several:  # jobs that don't wait for each other
+            for j in [several.submit(j) for j in jobs]:
                 j.result()
-        for p in (*temporary, links_path, verdict_path):
-            remove_path(self.spark, p)
+        written = [n.removeprefix("part=") for n in list_names(self.spark, to["history"]) if n.startswith("part=")] if found else []
+        self.live = self.live | {p: [*self.live.get(p, []), str(self.batch)] for p in written}
+        self.patterns = [a + b for a, b in zip(self.patterns, counts)]
+        self.largest = largest
         self.batch += 1
-        return self.spark.read.schema("id long").parquet(out)
+        self._commit()
+        for p in temporary:
+            remove_path(self.spark, p)
+        self._compact()
+        return self.spark.read.schema(_ROWS).parquet(to["rows"]).where("repeat").select("id")
+
+    def _compact(self) -> None:
+        """Write together what too many batches wrote of a snapshot; the old folders go once that is committed."""
+        crowded = [p for p, gens in self.live.items() if len(gens) > self.max_generations]
+        if not crowded:
+            return
+        gen = f"{self.batch - 1}c"
+        self._history(crowded).write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/history/gen={gen}")
+        gone = [f"{self.path}/history/gen={g}/part={p}" for p in crowded for g in self.live[p]]
+        self.live = self.live | {p: [gen] for p in crowded}
+        self._commit()
+        for p in gone:
+            remove_path(self.spark, p)
 
-    def repeats(self) -> DataFrame:
-        """The repeats of all batches so far."""
+    def rows(self) -> DataFrame:
+        """(id, member, repeat) of all rows but those that stand in the history without a link."""
         if self.batch == 0:
-            return self.spark.createDataFrame([], "id long")
-        return self.spark.read.schema("id long").parquet(f"{self.path}/repeats")
+            return self.spark.createDataFrame([], _ROWS)
+        return self.spark.read.schema(_ROWS).parquet(*[f"{self.path}/rows/batch={b}" for b in range(self.batch)])
+
+    def repeats(self) -> DataFrame:
+        """The ids of the repeats of all batches so far."""
+        return self.rows().where("repeat").select("id")
+
+    def scored_links(self) -> DataFrame:
+        """(id, other, edits, score, probability): the first row of a code with each linked one's, by today's weights."""
+        folders = [f"{self.path}/links/batch={b}" for b in range(self.batch)]
+        links = self.spark.read.schema(_LINKS).parquet(*folders) if folders else self.spark.createDataFrame([], _LINKS)
+        score = F.get(F.array(*[F.lit(s) for s in self.weights.scores()]), F.col("pattern"))
+        edits = F.floor(F.col("pattern") / (PATTERNS // LEVELS["edits"])).cast("int")
+        return links.select("id", "other", edits.alias("edits"), score.alias("score"), (1 / (1 + F.pow(F.lit(2.0), -score))).alias("probability"))
+
+    def forget(self) -> None:
+        """Remove all but what was decided on rows: for a linker that takes no further batch and lists no clusters."""
+        for p in ("history", "links", "merges", "commits"):
+            remove_path(self.spark, f"{self.path}/{p}")
 
     @staticmethod
-    def _pairs(groups: DataFrame, others: DataFrame, hot: DataFrame | None) -> DataFrame:
-        """Each code of the batch with the other codes of its block, history and batch alike, as g and o."""
-        differ = F.col("o.known") | (F.col("g.code") != F.col("o.code"))
-        cols = [*KEY, "code", "first_id", "num", "txt"]
-
-        def within(g: DataFrame, o: DataFrame, more: list[str]) -> DataFrame:
-            on = differ
-            for k in [*KEY, *more]:
+    def _pairs(members: DataFrame, hot: DataFrame | None) -> DataFrame:
+        """Each code of the batch (g) with the known and the earlier ones (o) of its block."""
+        cols = ["code", "first_id", "num", "txt", "rep", "known"]
+        earlier = F.col("o.known") | (F.col("o.first_id") < F.col("g.first_id")) | ((F.col("o.first_id") == F.col("g.first_id")) & (F.col("o.code") < F.col("g.code")))
+        cool = members if hot is None else members.join(hot, KEY, "left_anti")
+        # at most HOT_BLOCK members a block, of which those alone in theirs leave at once
+        blocks = cool.groupBy(*KEY).agg(F.collect_list(F.struct(*cols)).alias("m")).where((F.size("m") > 1) & F.exists("m", lambda x: ~x["known"]))
+        out = blocks.select(*KEY, F.explode(F.filter("m", lambda x: ~x["known"])).alias("g"), "m").select(*KEY, "g", F.explode("m").alias("o")).where(earlier)
+        if hot is None:
+            return out
+
+        def within(g: DataFrame, o: DataFrame, more: str) -> DataFrame:
+            on = earlier
+            for k in [*KEY, more]:
                 on &= F.col(f"g.{k}") == F.col(f"o.{k}")
-            return g.alias("g").join(o.alias("o"), on).select(*[F.struct(*[F.col(f"{s}.{c}").alias(c) for c in (cols if s == "g" else [*cols, "known", "rep"])]).alias(s) for s in "go"])
+            return g.alias("g").join(o.alias("o"), on).select(*[F.col(f"g.{k}").alias(k) for k in KEY], *[F.struct(*[F.col(f"{s}.{c}").alias(c) for c in cols]).alias(s) for s in "go"])
 
-        if hot is None:
-            return within(groups, others, [])
-        cool = within(groups.join(hot, KEY, "left_anti"), others.join(hot, KEY, "left_anti"), [])
-        hg, ho = groups.join(hot, KEY, "left_semi"), others.join(hot, KEY, "left_semi")
+        both = members.join(hot, KEY, "left_semi")
+        new = both.where("not known")
         short = F.length("code") <= VARIANT_LENGTH
         keyed = lambda d: d.where(short).withColumn("variant", F.explode(deletion_variants(F.col("code"))))
-        near = within(keyed(hg), keyed(ho), ["variant"]).distinct()
+        near = within(keyed(new), keyed(both), "variant").distinct()
         shifted = lambda d, by: d.where(~short | (F.length("code") > VARIANT_LENGTH - 2)).withColumn("size", F.explode(F.array(*[F.length("code") + k for k in by])))
-        long = within(shifted(hg, [0]), shifted(ho, range(-2, 3)), ["size"]).where((F.length("g.code") > VARIANT_LENGTH) | (F.length("o.code") > VARIANT_LENGTH))
-        return cool.unionByName(near).unionByName(long)
+        long = within(shifted(new, [0]), shifted(both, range(-2, 3)), "size").where((F.length("g.code") > VARIANT_LENGTH) | (F.length("o.code") > VARIANT_LENGTH))
+        return out.unionByName(near).unionByName(long)
 
-    def _merges(self, parts: list | None) -> DataFrame | None:
+    def _merges(self) -> DataFrame | None:
         """(part, member, representative): where absorbed representatives went, their last entry each."""
         if not self.merged:
             return None
-        log = self.spark.read.schema(_MERGES).parquet(f"{self.path}/merges")
-        if parts is not None:
-            log = log.where(F.col("part").isin(parts))
-        return log.groupBy("part", "member").agg(F.max(F.struct("batch", (-F.col("representative")).alias("minus"))).alias("x")).select("part", "member", (-F.col("x.minus")).alias("representative"))
+        log = self.spark.read.schema(_MERGES).parquet(*[f"{self.path}/merges/batch={b}" for b in self.merged])
+        return log.groupBy("part", "member").agg(F.max("batch").alias("batch"), F.max_by(-F.col("representative"), F.struct("batch", -F.col("representative"))).alias("minus")).select("part", "member", (-F.col("minus")).alias("representative"))
 
-    def _fold_clusters(self, links: DataFrame, hot: DataFrame | None, parts: list) -> DataFrame:
+    def _fold_clusters(self, links: DataFrame, hot: DataFrame | None, parts: Sequence[str]) -> DataFrame:
         """(part, member, known, representative, joins) of what the batch's links touch: new first ids and known representatives.
 
         ``joins`` says whether more than one known representative may have come together in the cluster.
@@ -258,10 +347,10 @@ class IncrementalLinker:
         for that go through repeated joins.
         """
         edges = links.select(*KEY, "id", F.when(F.col("known"), F.col("rep")).otherwise(F.col("other")).alias("other"), "known")
-        merges = self._merges(parts)
+        merges = self._merges() if parts else None
         if merges is not None:
-            now = merges.select(F.col("member").alias("other"), F.col("representative").alias("now"))
-            edges = edges.join(now, "other", "left").select(*KEY, "id", F.when(F.col("known"), F.coalesce("now", "other")).otherwise(F.col("other")).alias("other"), "known")
+            now = merges.select("part", F.col("member").alias("other"), F.col("representative").alias("now"))
+            edges = edges.join(now, ["part", "other"], "left").select(*KEY, "id", F.when(F.col("known"), F.coalesce("now", "other")).otherwise(F.col("other")).alias("other"), "known")
         big = None
         if hot is not None:
             big = edges.join(hot, KEY, "left_semi")
@@ -274,25 +363,27 @@ class IncrementalLinker:
             out = out.unionByName(ends.groupBy("part", "member").agg(F.max("known").alias("known")).join(labels, "member").select("part", "member", "known", "representative", F.lit(True).alias("joins")))
         return out
 
-    def _enter_merges(self, merges: DataFrame, parts: list) -> None:
+    def _new_merges(self, merges: DataFrame) -> DataFrame:
         new = merges.select("part", "member", "representative")
-        before = self._merges(parts)
+        before = self._merges()
         if before is not None:  # what had gone to a representative that is absorbed now goes on with it
-            moved = new.select(F.col("member").alias("was"), F.col("representative").alias("now"))
-            new = new.unionByName(before.join(moved, F.col("representative") == F.col("was")).select("part", "member", F.col("now").alias("representative")))
-        new.withColumn("batch", F.lit(self.batch)).select("member", "representative", "batch", "part").write.mode("append").partitionBy("part").parquet(f"{self.path}/merges")
-        self.merged = True
-
-    def current_clusters(self) -> DataFrame:
-        """(part, member, representative): each code's first id and the least first id of its cluster."""
-        if self.batch == 0:
-            return self.spark.createDataFrame([], "part date, member long, representative long")
-        codes = self.spark.read.schema(_STATE).parquet(f"{self.path}/history").select("part", F.col("first_id").alias("member"), "rep")
-        merges = self._merges(None)
-        if merges is None:
-            return codes.withColumnRenamed("rep", "representative")
-        now = merges.select("part", F.col("member").alias("rep"), "representative")
-        return codes.join(now, ["part", "rep"], "left").select("part", "member", F.coalesce("representative", "rep").alias("representative"))
+            moved = new.select("part", F.col("member").alias("was"), F.col("representative").alias("now"))
+            before = before.withColumnRenamed("representative", "was").join(moved, ["part", "was"])
+            new = new.unionByName(before.select("part", "member", F.col("now").alias("representative")))
+        return new.withColumn("batch", F.lit(self.batch))
+
+    def clusters(self) -> DataFrame:
+        """(id, representative): each row that was accepted and the least id of its cluster."""
+        codes = self._history(list(self.live)).select("part", F.col("first_id").alias("member"), "rep")
+        merges = self._merges()
+        if merges is not None:
+            now = merges.select("part", F.col("member").alias("rep"), "representative")
+            codes = codes.join(now, ["part", "rep"], "left").select("member", F.coalesce("representative", "rep").alias("rep"))
+        codes = codes.groupBy("member").agg(F.min("rep").alias("rep"))
+        # a row that repeats a code goes with its first row; one without a block stands for itself
+        own = codes.select(F.col("member").alias("id"), F.col("rep").alias("representative"))
+        others = self.rows().select("id", "member").join(own.select(F.col("id").alias("known")), F.col("id") == F.col("known"), "left_anti")
+        return own.unionByName(others.join(codes, "member", "left").select("id", F.coalesce("rep", "member").alias("representative")))
 
 
 def _fold(edges: str) -> Column:
@@ -350,18 +441,23 @@ def offer_records(offers: DataFrame, *more: str) -> DataFrame:
     """``price_observations`` in the linker's columns, and the given ones besides."""
     plain = lambda c: F.regexp_replace(c, "^0+", "")
     room = F.when(F.col("room_id").isNotNull(), plain(digits_only("room_id"))).otherwise(plain(F.regexp_extract("block_id", "([0-9]+)", 1)))
-    block = [canonical_url("property_url"), *[F.col(c) for c in SAME_SEARCH], room]
+    # the texts first, so that each is made once
+    texts = offers.select(
+        F.col("observation_id").alias("id"), F.col("snapshot_date").alias("part"), canonical_url("property_url").alias("url"), room.alias("room"),
+        digits_only("block_id").alias("code"), finite("price_per_night").alias("num"), F.lower("room_name").alias("name"), *SAME_SEARCH, *more,
+    )
+    block = [F.col(c) for c in ("url", *SAME_SEARCH, "room")]
     whole = F.lit(True)
     for c in block:
         whole = whole & c.isNotNull()
-    return offers.select(
-        F.col("observation_id").alias("id"),
-        F.col("snapshot_date").alias("part"),
+    return texts.select(
+        "id",
+        "part",
         F.when(whole, F.xxhash64(*block)).alias("b1"),
         F.hash(*null_marked(*block)).cast("long").alias("b2"),
-        digits_only("block_id").alias("code"),
-        finite("price_per_night").alias("num"),
-        F.when(F.col("room_name").isNotNull(), F.xxhash64(F.lower("room_name"))).alias("txt"),
+        "code",
+        "num",
+        F.when(F.col("name").isNotNull(), F.xxhash64("name")).alias("txt"),
         *more,
     )
 

@@ -176,26 +176,43 @@ from ranked join (values (0.1::double), (0.25::double), (0.5::double), (0.75::do
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     linker = linkage.link_batches(table(spark, folder, "price_observations"), "run_id")
+    linker.forget()
     return linker.repeats().select(F.col("id").alias("observation_id"))
 
 
-P3_SQL = """
-with keyed as (
+_P3_KEYED = """keyed as (
   select observation_id as id, snapshot_date, split_part(split_part(property_url, '?', 1), '#', 1) as u, checkin, checkout, adults, children,
     rooms, currency, market, ltrim(case when room_id is not null then regexp_replace(room_id, '[^0-9]', '', 'g')
       else regexp_extract(block_id, '[0-9]+') end, '0') as room, regexp_replace(block_id, '[^0-9]', '', 'g') as code
   from price_observations
+), pairs as (
+  select a.id as later, b.id as earlier from keyed a join keyed b
+    on a.snapshot_date = b.snapshot_date and a.u = b.u and a.checkin = b.checkin and a.checkout = b.checkout and a.adults = b.adults
+    and a.children = b.children and a.rooms = b.rooms and a.currency = b.currency and a.market = b.market and a.room = b.room and b.id < a.id
+  where levenshtein(a.code, b.code) <= 2
+)"""
+P3_SQL = f"with {_P3_KEYED} select distinct later as observation_id from pairs"
+
+P3_CLUSTERS_SQL = f"""with recursive {_P3_KEYED}, edges as (
+  select later as x, earlier as y from pairs union select earlier, later from pairs
+), reached as (
+  select observation_id as id, observation_id as other from price_observations
+  union select r.id, e.y from reached r join edges e on e.x = r.other
 )
-select distinct a.id as observation_id from keyed a join keyed b
-  on a.snapshot_date = b.snapshot_date and a.u = b.u and a.checkin = b.checkin and a.checkout = b.checkout and a.adults = b.adults
-  and a.children = b.children and a.rooms = b.rooms and a.currency = b.currency and a.market = b.market and a.room = b.room and b.id < a.id
-where levenshtein(a.code, b.code) <= 2
-"""
+select id as observation_id, min(other) as representative from reached group by 1"""
 
 
 def p3_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every observation with the first one of its cluster."""
+    linker = linkage.link_batches(table(spark, folder, "price_observations"), "run_id")
+    return linker.clusters().select(F.col("id").alias("observation_id"), "representative")
+
+
+def p3_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Links between codes with what the weights learned from all batches say of them."""
     linker = linkage.link_batches(table(spark, folder, "price_observations"), "run_id")
-    return linker.current_clusters().select(F.col("member").alias("observation_id"), "representative")
+    d = linker.scored_links().withColumn("match", F.col("score") >= 0)
+    return d.select(F.col("id").alias("observation_id"), F.col("other").alias("earlier_id"), "edits", F.round("score", 6).alias("score"), F.round("probability", 6).alias("probability"), "match")
 
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -224,6 +241,7 @@ QUERIES = {
     "p1_classes": p1_classes,
     "p3_found": p3_found,
     "p3_clusters": p3_clusters,
+    "p3_scores": p3_scores,
     "p4_percentiles": p4_percentiles,
     "p4_percentiles_by_date": p4_percentiles_by_date,
     "p6_found": p6_found,
@@ -239,6 +257,7 @@ SQL = {
     "p1_found": P1_SQL,
     "p1_classes": P1_CLASSES_SQL,
     "p3_found": P3_SQL,
+    "p3_clusters": P3_CLUSTERS_SQL,
     "p4_percentiles": _p4_sql(""),
     "p4_percentiles_by_date": _p4_sql("snapshot_date,"),
     "p6_found": P6_SQL,

@@ -1,6 +1,8 @@
+import math
 import random
 from datetime import date
 
+import pytest
 from nightledger.llm import linkage
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ def brute_repeats(records):
 
 
 def brute_clusters(records):
-    parent = {r[0]: r[0] for r in records if None not in (r[1], r[2], r[4])}
+    parent = {r[0]: r[0] for r in records}
 
     def find(x):
         while parent[x] != x:
@@ -58,12 +60,13 @@ def make(rng, n, block_size, digits):
 
 def feed(spark, records, batches):
     linker = linkage.IncrementalLinker.create(spark)
+    linker.max_generations = 2  # so that histories are written together on the way
     size = -(-len(records) // batches)
     for k in range(batches):
         df = spark.createDataFrame(records[k * size : (k + 1) * size], SCHEMA).withColumn("rep", F.lit("x"))
         linker.accept(df)
         if k == 1:  # a new process goes on where the last one stopped
-            linker = linkage.IncrementalLinker.resume(spark, linker.path, linker.batch)
+            linker = linkage.IncrementalLinker.resume(spark, linker.path)
     return linker
 
 
@@ -71,9 +74,8 @@ def check(spark, records, batches):
     linker = feed(spark, records, batches)
     assert sorted(r["id"] for r in linker.repeats().collect()) == brute_repeats(records)
     whole = brute_clusters(records)
-    got = {r["member"]: r["representative"] for r in linker.current_clusters().collect()}
-    assert got and all(whole[m] == r for m, r in got.items())
-    assert {r for r in got.values()} == set(whole.values())
+    got = [(r["id"], r["representative"]) for r in linker.clusters().collect()]
+    assert len(got) == len(records) and dict(got) == whole
 
 
 def test_batches_as_brute_force(spark):
@@ -93,22 +95,50 @@ def test_one_batch_repeated_rows_and_empty_batches(spark):
     records = [(1, day, 1, 1, "", None, None), (2, day, 1, 1, "12", None, None), (3, day, 1, 1, "", None, None), (4, day, 1, 1, "1" * 3000, None, None), (5, day, 1, 1, "1" * 3001, None, None)]
     linker = linkage.IncrementalLinker.create(spark)
     empty = spark.createDataFrame([], SCHEMA)
-    assert linker.accept(empty) is None
+    assert linker.accept(empty).count() == 0
     assert linker.repeats().count() == 0
     linker.accept(spark.createDataFrame(records, SCHEMA))
-    assert linker.accept(empty) is None
+    assert linker.accept(empty).count() == 0
     assert sorted(r["id"] for r in linker.repeats().collect()) == [2, 3, 5]
 
 
-def test_weights_lose_no_pair_within_two_edits():
+def test_weights_tell_matches_from_others():
+    for p in range(linkage.PATTERNS):
+        e, n, t = linkage.levels_of(p)
+        assert (e * 4 + n) * 3 + t == p
+    counts = [0] * linkage.PATTERNS
     rng = random.Random(0)
-    for _ in range(30):
-        patterns = [((e, n, t), float(rng.randint(1, 1000))) for e in range(4) for n in range(4) for t in range(3) if rng.random() < 0.5]
-        w = linkage.learn_weights(patterns)
-        for e in range(3):
-            for n in range(4):
-                for t in range(3):
-                    assert w.odds["edits"][e] + w.odds["number"][n] + w.odds["text"][t] >= w.threshold
+    for _ in range(20000):  # matches: few edits, same number and text; others the reverse
+        match = rng.random() < 0.3
+        pick = lambda good, bad: rng.choice(good if (rng.random() < 0.9) == match else bad)
+        e, n, t = pick([0, 1, 2], [3]), pick([1, 2], [3]), pick([1], [2])
+        counts[(e * 4 + n) * 3 + t] += 1
+    w = linkage.learn_weights(counts)
+    scores = w.scores()
+    assert scores[(0 * 4 + 1) * 3 + 1] > 0 > scores[(3 * 4 + 3) * 3 + 2]
+    assert all(math.isfinite(s) for s in linkage.learn_weights([0] * linkage.PATTERNS).scores())
+
+
+def test_a_batch_that_failed_is_taken_again(spark, monkeypatch):
+    day = date(2031, 1, 1)
+    linker = linkage.IncrementalLinker.create(spark)
+    linker.accept(spark.createDataFrame([(1, day, 1, 1, "123456", None, None)], SCHEMA))
+    second = spark.createDataFrame([(2, day, 1, 1, "123457", 1.0, None), (3, day, 2, 1, "5", None, None), (4, day, 2, 1, "5", None, None)], SCHEMA)
+
+    def fails(self):
+        raise OSError
+
+    with monkeypatch.context() as m:
+        m.setattr(linkage.IncrementalLinker, "_commit", fails)
+        with pytest.raises(OSError):
+            linker.accept(second)
+    linker = linkage.IncrementalLinker.resume(spark, linker.path)
+    assert linker.batch == 1 and linker.repeats().count() == 0
+    linker.accept(second)
+    assert sorted(r["id"] for r in linker.repeats().collect()) == [2, 4]
+    assert sorted((r["id"], r["representative"]) for r in linker.clusters().collect()) == [(1, 1), (2, 1), (3, 3), (4, 3)]
+    (link,) = linker.scored_links().where("id = 2").collect()
+    assert (link["other"], link["edits"]) == (1, 1) and 0 <= link["probability"] <= 1
 
 
 def test_offer_records_rooms_and_codes(spark):
@@ -128,4 +158,4 @@ def test_batches_without_any_link(spark):
         linker.accept(spark.createDataFrame([(k + 1, day, k, 1, "123456", None, None)], SCHEMA))
     linker.accept(spark.createDataFrame([(9, day, 1, 1, "999999999", None, None)], SCHEMA))
     assert linker.repeats().count() == 0
-    assert linker.current_clusters().count() == 4
+    assert linker.clusters().count() == 4
