@@ -223,6 +223,21 @@ def p9_passages(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
 
 
+# words as the problem has them: NFC, five characters left out, lower case, runs of letters and digits
+_WORDS_SQL = "regexp_extract_all(lower(regexp_replace(nfc_normalize(text), '[\\x{00AD}\\x{200B}-\\x{200D}\\x{FEFF}]', '', 'g')), '[\\p{L}\\p{N}]+')"
+
+P9_SQL = f"""
+with docs as (select doc_id, {_WORDS_SQL} as ws from documents where text is not null),
+items as (select item_id, {_WORDS_SQL} as ws from eval_items where text is not null and item_id is not null),
+sizes as (select distinct least(len(ws), 12) as size from items where len(ws) > 0),
+of_items as (select distinct item_id, least(len(ws), 12) as size, array_to_string(ws[k:k + least(len(ws), 12) - 1], ' ') as passage
+  from (select *, unnest(range(1, greatest(len(ws) - 11, 1) + 1)) as k from items where len(ws) > 0)),
+of_docs as (select doc_id, size, array_to_string(ws[k:k + size - 1], ' ') as passage
+  from (select doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) as k from docs, sizes where len(ws) >= size))
+select distinct doc_id, item_id from of_docs join of_items using (size, passage)
+"""
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return p9_passages(spark, folder).select("doc_id", "item_id").distinct()
 
@@ -263,4 +278,5 @@ SQL = {
     "p6_found": P6_SQL,
     "p6_term_counts": P6_COUNTS_SQL,
     "p7_found": P7_SQL,
+    "p9_found": P9_SQL,
 }

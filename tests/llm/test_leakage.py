@@ -71,3 +71,33 @@ def test_more_items_than_one_automaton_takes(spark, monkeypatch):
 
 def test_empty_tables(spark):
     assert run(spark, [], [(1, ITEM)]) == [] and run(spark, [(1, ITEM)], []) == []
+
+
+def test_runs_far_apart_are_rows_of_their_own(spark):
+    words = ITEM.split()
+    text = " ".join(words[:13]) + " and then quite another matter, " + " ".join(words[2:])
+    got = sorted((r["start"], r["stop"], r["words"]) for r in run(spark, [(1, text)], [(7, ITEM), (8, None)]))
+    assert [n for _, _, n in got] == [13, len(words) - 2]
+    assert [lk.words(text[a:b]) for a, b, _ in got] == [lk.words(" ".join(words[:13])), lk.words(" ".join(words[2:]))]
+
+
+def test_memory_of_an_automaton_at_its_bound():
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+from nightledger.llm import leakage as lk
+rng = random.Random(1)
+words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(60000)]
+block = lk.Block(words=words)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for i in range(2500):
+    block.ids.append(i)
+    block.flat.extend(rng.randint(1, 60000) for _ in range(lk.MAX_ITEM_CHARS // 6 // 2500))
+    block.ends.append(len(block.flat))
+index = lk.Index(block, 12)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    used = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert used < 300_000  # KB
