@@ -55,8 +55,11 @@ class Rules:
 def passages_of(text: str, least_words: int) -> tuple[int, list[list[str]]]:
     """How many sentences or lines have a word, and the distinct words of each with ``least_words``; markup is left out."""
     n, out = 0, []
-    for part in _END.split(_TAG.sub("\n", text)):
-        ws = _WORD.findall(part.lower())
+    text = text.lower()
+    if "<" in text:
+        text = _TAG.sub("\n", text)
+    for part in _END.split(text):
+        ws = _WORD.findall(part)
         n += bool(ws)
         if len(ws) >= least_words:
             out.append(list(dict.fromkeys(ws)))
@@ -64,35 +67,39 @@ def passages_of(text: str, least_words: int) -> tuple[int, list[list[str]]]:
 
 
 def passages(documents: DataFrame, doc_id: str, text: str, least_words: int) -> DataFrame:
-    """(doc, c, n, p, terms): a row for each passage; c is a hash of the text, n its number of sentences, p a hash of the passage's terms, which are hashes too."""
+    """(doc, c, n, p, terms): a row for each passage; c is a hash of the text, n its number of sentences, p a hash of the set of its terms, which are hashes too."""
 
     def cut(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         from xxhash import xxh3_64_intdigest as digest
 
-        memory: dict[str, int] = {}
+        class Memory(dict):
+            def __missing__(self, word: str) -> int:
+                if len(self) >= _REMEMBERED:
+                    self.clear()
+                h = self[word] = digest(word.encode("utf-8", "surrogatepass"))
+                return h
+
+        memory = Memory()
         for batch in (b.slice(k, _SLICE) for b in batches for k in range(0, b.num_rows, _SLICE)):
-            at, texts, counts, hashes, ends, flat = [], [], [], [], [0], []
-            for i, raw in enumerate(batch.column(1)):
-                raw = raw.as_py()
+            at, texts, counts, ends, flat = [], [], [], [0], []
+            for i, raw in enumerate(batch.column(1).to_pylist()):
                 n, found = passages_of(raw, least_words)
                 at += [i] * len(found)
                 counts += [n] * len(found)
                 texts += [digest(raw.encode("utf-8", "surrogatepass"))] * len(found)
                 for ws in found:
-                    hashes.append(digest(" ".join(ws).encode("utf-8", "surrogatepass")))
-                    for w in ws:
-                        h = memory.get(w)
-                        if h is None:
-                            if len(memory) >= _REMEMBERED:
-                                memory.clear()
-                            h = memory[w] = digest(w.encode("utf-8", "surrogatepass"))
-                        flat.append(h)
+                    flat += map(memory.__getitem__, ws)
                     ends.append(len(flat))
-            longs = lambda xs: pa.array(np.array(xs, np.uint64).view(np.int64))
-            terms = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), longs(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), longs(texts), pa.array(counts, pa.int32()), longs(hashes), terms], names=["doc", "c", "n", "p", "terms"])
+            longs = lambda xs: pa.array(np.asarray(xs, np.uint64).view(np.int64))
+            words = np.array(flat, np.uint64)
+            # hashes of distinct words, mixed once more and added up: one for each set of words
+            mixed = (words ^ (words >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(32)
+            sets = np.add.reduceat(mixed, np.array(ends[:-1])) if len(ends) > 1 else words
+            terms = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), longs(words))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), longs(texts), pa.array(counts, pa.int32()), longs(sets), terms], names=["doc", "c", "n", "p", "terms"])
 
     kind = documents.schema[doc_id].dataType.simpleString()
     d = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).where("doc is not null and text is not null")
@@ -108,9 +115,8 @@ def _best_labels(offsets, flat, terms, weights):
     at = np.minimum(np.searchsorted(terms, flat), len(terms) - 1)
     known = terms[at] == flat
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[known]
-    sums = np.zeros((len(offsets) - 1, weights.shape[1]))
-    np.add.at(sums, owner, weights[at[known]])
-    sums = sums.round(9)
+    met = weights.T[:, at[known]]
+    sums = np.stack([np.bincount(owner, weights=w, minlength=len(offsets) - 1) for w in met], axis=1).round(9)
     # of equal scores the later label
     best = sums.shape[1] - 1 - np.argmax(sums[:, ::-1], axis=1)
     return best, sums[np.arange(len(best)), best]
@@ -162,7 +168,6 @@ class _Graph:
 
         def teach(batches: Iterator) -> Iterator:
             import numpy as np
-            import pandas as pd
             import pyarrow as pa
 
             known, weights = shared.value
@@ -176,12 +181,13 @@ class _Graph:
                 allowed[:, none] = True
                 sure = (score > rules.teach_score) & allowed[np.arange(len(label)), label]
                 size = np.diff(offsets)
-                each = pd.DataFrame({"term": flat, "label": np.repeat(np.where(sure, label, -1), size), "met": np.repeat(score > rules.label_score, size)})
-                taught = each[each.label >= 0].groupby(["term", "label"], sort=False).size().reset_index(name="c")
-                both = each.groupby("term", sort=False).met.agg(["size", "sum"]).reset_index()
-                term = np.concatenate([taught.term, both.term, both.term])
-                which = np.concatenate([taught.label, np.full(len(both), seen), np.full(len(both), met)])
-                c = np.concatenate([taught.c, both["size"], both["sum"]])
+                word, which = np.unique(flat, return_inverse=True)
+                # a column for each label, one for all passages and one for those with any label
+                tally = lambda of, on: np.bincount(which[on] * (labels + 2) + of[on], minlength=len(word) * (labels + 2))
+                label = np.repeat(np.where(sure, label, -1), size)
+                counts = tally(label, label >= 0) + tally(np.full(len(flat), met), np.repeat(score > rules.label_score, size)) + tally(np.full(len(flat), seen), np.ones(len(flat), bool))
+                on = np.flatnonzero(counts)
+                term, which, c = word[on // (labels + 2)], on % (labels + 2), counts[on]
                 yield pa.RecordBatch.from_arrays([pa.array(term, pa.int64()), pa.array(which, pa.int32()), pa.array(c, pa.float64())], names=["term", "label", "c"])
 
         return self.nodes.select("terms", "own").mapInArrow(teach, "term long, label int, c double")
