@@ -45,21 +45,18 @@ def valid_price(c: str | Column) -> Column:
 def parse_price(c: str | Column) -> Column:
     """A localised price text as a number.
 
-    Of two kinds of separators the rightmost is the decimal one. A single kind groups thousands if every
-    group after the first has three digits, else its last occurrence is the decimal separator. Text
-    without digits gives null.
+    Of two kinds of separators the rightmost is the decimal one. A single kind groups thousands if three
+    characters follow each of its occurrences, else it is the decimal separator. What then is no number, such
+    as text with two decimal separators or without digits, gives null.
     """
-    t = F.regexp_replace(col_of(c), r"[^0-9,.\-]", "")
-    comma, dot = F.instr(F.reverse(t), ","), F.instr(F.reverse(t), ".")
-    both = (comma > 0) & (dot > 0)
-    decimal = F.when(both, F.when(comma < dot, ",").otherwise(".")).when(comma > 0, ",").when(dot > 0, ".")
-    grouped = t.rlike(r"^-?[0-9]+([,.][0-9]{3})+$")
-    last = F.length(t) - F.when(decimal == ",", comma).otherwise(dot) + 1
-    whole = F.regexp_replace(F.substring(t, F.lit(1), last - 1), "[,.]", "")
-    split = F.concat(whole, F.lit("."), F.substring(t, last + 1, F.length(t)))
-    plain = F.regexp_replace(t, "[,.]", "")
-    number = F.when(decimal.isNull() | (~both & grouped), plain).otherwise(split)
-    return F.when(t.rlike("[0-9]"), number.try_cast("double"))
+    clean = F.regexp_replace(col_of(c), r"[^0-9,.\-]", "")
+
+    def number(t: Column) -> Column:
+        grouped = t.rlike(r"^[^,.]*(?:(?:,[^,.]{3})+|(?:\.[^,.]{3})+)$")
+        return F.when(grouped, F.translate(t, ",.", "")).when(t.rlike(r",[^.]*$"), F.translate(t, ",.", ".")).otherwise(F.translate(t, ",", "")).try_cast("double")
+
+    # bound by the lambda, so that the text is cleaned once
+    return F.get(F.transform(F.array(clean), number), F.lit(0))
 
 
 def nightly(total: str | Column, nights: str | Column) -> Column:
@@ -99,9 +96,10 @@ def cancellation(c: str | Column) -> tuple[Column, Column, Column]:
 
 
 def quality_flags(tokens: str | Column) -> dict[str, Column]:
-    """0/1 for each feature of which a phrase stands, as whole words, within one token."""
-    joined = F.array_join(col_of(tokens), " | ")
-    return {f"hq__{name}": F.coalesce(joined.rlike("|".join(rf"\b{p}\b" for p in phrases)), F.lit(False)).cast("int") for name, phrases in QUALITY_PHRASES.items()}
+    """0/1 for each feature that any token names: one of its phrases stands in the token as whole words."""
+    named = lambda phrases: F.exists(tokens, lambda t: reduce(lambda a, b: a | b, [t.rlike(rf"\b{p}\b") for p in phrases]))
+    tokens = F.filter(col_of(tokens), lambda t: t.isNotNull())
+    return {f"hq__{name}": F.coalesce(named(phrases), F.lit(False)).cast("int") for name, phrases in QUALITY_PHRASES.items()}
 
 
 def calendar(day: str | Column) -> dict[str, Column]:
@@ -167,16 +165,17 @@ def boolean_of(c: str | Column) -> Column:
 
 
 def availability_state(now: Column, before: Column) -> Column:
-    """What became of an offer between two snapshots; unknown if either couldn't be read."""
-    on, off, failed = STATUS_PRIORITY
-    return (
-        F.when(before.isNull() | now.isNull() | (now == failed) | (before == failed), "unknown")
-        .when((now == on) & (before == on), "available")
-        .when(now == on, "newly_available")
-        .when(before == on, "disappeared")
-        .when((now == off) & (before == off), "still_unavailable")
-        .otherwise("unknown")
-    )
+    """What became of an offer between two snapshots.
+
+    Only passages between an offer and its absence are known; any other status on either side, a failed
+    capture or none at all gives ``unknown``.
+    """
+    on, off, _ = STATUS_PRIORITY
+    known = {(on, on): "available", (off, on): "newly_available", (on, off): "disappeared", (off, off): "still_unavailable"}
+    state = F.lit("unknown")
+    for (was, is_), name in known.items():
+        state = F.when((before == was) & (now == is_), name).otherwise(state)
+    return state
 
 
 def clean_status(c: str | Column) -> Column:

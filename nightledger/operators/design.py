@@ -16,6 +16,10 @@ from nightledger.operators.quantiles import medians
 from nightledger.session import store
 
 
+#: Columns of a design matrix that one column of the table may become.
+MAX_COLUMNS = 10_000
+
+
 @dataclass(frozen=True)
 class Contract:
     """What a fitted matrix consists of; unseen levels and tokens give zeros, missing numbers their median."""
@@ -59,14 +63,22 @@ def fit_contract(rows: DataFrame, numbers: Sequence[str], categories: Sequence[s
         got = medians(one, ["g_"], F.col(c), "m").first()
         numbers_out[c] = float(got["m"]) if got else 0.0
     gaps = rows.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in numbers]).first().asDict() if numbers else {}
-    levels = {c: tuple(sorted(r[0] for r in rows.select(F.trim(c)).where(F.trim(c) != "").distinct().collect())) for c in categories}
+    levels = {c: _listed(rows.select(F.trim(c)).where(F.trim(c) != "").distinct(), c) for c in categories}
     vocabulary: tuple[str, ...] = ()
     if tokens:
         t = rows.select(F.explode(F.array_distinct(tokens)).alias("t")).groupBy("t").count().where(F.col("count") >= least_records)
-        vocabulary = tuple(sorted(r["t"] for r in t.collect()))
+        vocabulary = _listed(t.select("t"), tokens)
     return Contract(numbers_out, tuple(c for c in numbers if gaps.get(c)), levels, vocabulary, tokens, tuple(forbidden))
 
 
+def _listed(values: DataFrame, column: str) -> tuple[str, ...]:
+    """The values, which become columns of the matrix: more than it may have are an error."""
+    got = values.limit(MAX_COLUMNS + 1).collect()
+    if len(got) > MAX_COLUMNS:
+        raise ValueError(f"{column} has more than {MAX_COLUMNS} values to make columns of")
+    return tuple(sorted(r[0] for r in got))
+
+
 @dataclass
 class Booster:
     contract: Contract

@@ -12,7 +12,7 @@ from nightledger.functions.text import canonical_url
 from nightledger.operators.relational import fill_from_first, keep_one, reconcile
 from nightledger.operators.spatial import haversine_km, usable
 
-#: Offers without these take the usual search's values.
+# Offers without these take the usual search's values.
 SEARCH_DEFAULTS = {"adults": 2, "children": 0, "rooms": 1, "currency": "EUR"}
 
 

@@ -6,21 +6,64 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nightledger.session import store
+
+
+def _deal(sizes: list[tuple[int, int]], folds: int) -> list[tuple[int, int, int, int]]:
+    """(size, first, last, fold) of groups of each size, numbered from 1: each to the fold that is lightest by then.
+
+    ``sizes`` has (size, groups), the greatest size first. Groups of one size are alike, so once the folds differ
+    by less than a size each round gives one to every fold, and whole rounds are dealt at once.
+    """
+    load = [0] * folds
+    out = []
+    for size, groups in sizes:
+        given = [0] * folds
+        left = groups
+        while left:
+            if max(load) - min(load) <= size and left > folds:
+                rounds = left // folds
+                for f in range(folds):
+                    given[f] += rounds
+                    load[f] += rounds * size
+                left -= rounds * folds
+                continue
+            f = load.index(min(load))
+            given[f] += 1
+            load[f] += size
+            left -= 1
+        first = 1
+        for f, n in enumerate(given):
+            if n:
+                out.append((size, first, first + n - 1, f))
+                first += n
+    return out
+
 
 def group_folds(rows: DataFrame, group: str, folds: int) -> DataFrame:
     """(group, fold): no group straddles folds; larger groups go first, each to the fold that is lightest by then.
 
-    Dealing groups out in turn, back and forth, keeps folds even without one task that knows all groups.
+    The driver sees how many groups each size has: N rows have at most the root of 2 N different sizes. Null is
+    a group.
     """
     from nightledger.operators.relational import number_rows
 
-    sizes = rows.groupBy(group).agg(F.count("*").alias("size"))
-    numbered = number_rows(sizes.withColumn("minus", -F.col("size")), ["minus", group], "i")
-    at = (F.col("i") - 1) % (2 * folds)
-    return numbered.select(group, F.when(at < folds, at).otherwise(2 * folds - 1 - at).cast("int").alias("fold"))
+    sizes = rows.groupBy(group).agg(F.count("*").alias("size_"))
+    sizes, _ = store(sizes, "group-sizes")
+    listed = sorted(((r["size_"], r["groups"]) for r in sizes.groupBy("size_").agg(F.count("*").alias("groups")).collect()), reverse=True)
+    if not listed:
+        return sizes.select(group, F.lit(0).alias("fold"))
+    dealt = rows.sparkSession.createDataFrame(_deal(listed, folds), "s_ long, first_ long, last_ long, fold int")
+    # of each size the groups are numbered by name
+    numbered = number_rows(sizes, ["size_", group], "i_").alias("n")
+    starts = sizes.groupBy("size_").agg(F.count("*").alias("groups_"))
+    before = Window.orderBy("size_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select(F.col("size_").alias("s0_"), F.coalesce(F.sum("groups_").over(before), F.lit(0)).alias("before_"))
+    d = numbered.join(F.broadcast(starts), F.col("size_") == F.col("s0_")).withColumn("i_", F.col("i_") - F.col("before_"))
+    return d.join(F.broadcast(dealt), (F.col("size_") == F.col("s_")) & F.col("i_").between(F.col("first_"), F.col("last_"))).select(group, "fold")
 
 
 @dataclass(frozen=True)

@@ -1,4 +1,4 @@
-"""Exact interpolated quantiles per group without holding a group in memory."""
+"""Exact quantiles per group from cumulative frequencies; a group may span any number of tasks."""
 
 from __future__ import annotations
 
@@ -7,21 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nightledger.session import store
 
-def group_quantiles(rows: DataFrame, group: Sequence[str], value: Column, quantiles: dict[str, float], extra: dict[str, Column] | None = None) -> DataFrame:
-    """Linear-interpolation quantiles of the values that are there, by name, for each group.
 
-    Values are first counted per group and distinct value, in part before the shuffle; a running sum over
-    the distinct values, which can spill, then finds the two ranks on either side of each quantile. Null
-    and NaN values don't count; a group of only those has no row. ``extra`` holds further columns over
-    ``n`` (rows of the group): aggregates of ``value`` weighted by ``c``.
+def cumulative_counts(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Adds ``upto``, the group's count of values up to the row's, and ``total`` to (group..., value, n).
+
+    Rows are range-partitioned by group and value; each partition sums up its own rows in order, and what the
+    partitions before it hold of the same group is added as an offset. No task holds more than one range of a
+    group. Null groups are groups of their own.
     """
-    v = value.cast("double")
-    d = rows.select(*group, v.alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = d.groupBy(*group, "value").agg(F.count("*").alias("c"))
-    w = Window.partitionBy(*group)
-    run = w.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    summed = counts.select("*", F.sum("c").over(run).alias("upto"), F.sum("c").over(w).alias("n"))
+    keys = [f"k{i}" for i in range(len(group))]
+    flat = counts.select(*[F.col(c).alias(k) for c, k in zip(group, keys)], "value", "n")
+    ranged = flat.repartitionByRange(*[F.col(k) for k in keys], F.col("value")).withColumn("part", F.spark_partition_id())
+    # written down, so that the ranges stay what they are
+    table, _ = store(ranged, "ranged-counts")
+    sums = table.groupBy("part", *keys).agg(F.sum("n").alias("part_n"))
+    # one row a partition and group: as many as there are partitions, besides one a group
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("part", *keys, F.coalesce(F.sum("part_n").over(before), F.lit(0)).alias("offset"), F.sum("part_n").over(whole).alias("total"))
+    running = Window.partitionBy("part", *keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    summed = table.withColumn("upto", F.sum("n").over(running))
+    on = F.col("l.part") == F.col("s.part")
+    for k in keys:
+        on &= F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}"))
+    joined = summed.alias("l").join(sums.alias("s"), on)
+    return joined.select(*[F.col(f"l.{k}").alias(c) for c, k in zip(group, keys)], "value", "n", (F.col("upto") + F.col("offset")).alias("upto"), "total")
+
+
+def quantiles_of_counts(counts: DataFrame, group: Sequence[str], quantiles: dict[str, float], extra: dict[str, Column] | None = None) -> DataFrame:
+    """Linear-interpolation quantiles, by name, of (group..., value, c): each value once a group, with its count.
+
+    ``extra`` holds further columns over ``n`` (rows of the group): aggregates of ``value`` weighted by ``c``.
+    """
+    summed = cumulative_counts(counts.withColumnRenamed("c", "n"), group).withColumnsRenamed({"n": "c", "total": "n"})
     at = lambda pos: F.min(F.when(F.col("upto") > pos, F.col("value")))
     out = {}
     for name, q in quantiles.items():
@@ -35,6 +55,17 @@ def group_quantiles(rows: DataFrame, group: Sequence[str], value: Column, quanti
     return got.select(*group, "n", *values, *(extra or {}))
 
 
+def group_quantiles(rows: DataFrame, group: Sequence[str], value: Column, quantiles: dict[str, float], extra: dict[str, Column] | None = None) -> DataFrame:
+    """Linear-interpolation quantiles of the values that are there, by name, for each group.
+
+    Values are first counted per group and distinct value, in part before the shuffle. Null and NaN values
+    don't count; a group of only those has no row.
+    """
+    v = value.cast("double") + F.lit(0.0)
+    d = rows.select(*group, v.alias("value")).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return quantiles_of_counts(d.groupBy(*group, "value").agg(F.count("*").alias("c")), group, quantiles, extra)
+
+
 def distribution(rows: DataFrame, group: Sequence[str], value: Column) -> DataFrame:
     """Count, least, quantiles, mean and greatest of each group."""
     extra = {"least": F.min("value"), "mean": F.sum(F.col("value") * F.col("c")) / F.sum("c"), "greatest": F.max("value")}

@@ -38,9 +38,23 @@ def rank_descending(rows: DataFrame, key: Sequence[str], value: str, name: str)
 
 
 def carry_forward(rows: DataFrame, key: Sequence[str], order: str, columns: Sequence[str]) -> DataFrame:
-    """Nulls take the last value before them in the key's order."""
-    w = Window.partitionBy(*key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
+    """Nulls take the last value before them in the key's order.
+
+    Rows are range-partitioned by key and order, carried on within each partition, and what is still null takes
+    the last value that the partitions before it hold of the key: a key's rows may lie in any number of tasks.
+    """
+    ranged, _ = store(rows.repartitionByRange(*key, order).withColumn("part_", F.spark_partition_id()), "carried")
+    within = Window.partitionBy("part_", *key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    d = ranged.withColumns({c: F.last(c, ignorenulls=True).over(within) for c in columns})
+    # one row for each partition and key
+    at = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"last_{c}") for c in columns]
+    ends = ranged.groupBy("part_", *key).agg(*at)
+    before = Window.partitionBy(*key).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(F.col("part_").alias("p_"), *[F.col(k).alias(f"k_{k}") for k in key], *[F.last(f"last_{c}", ignorenulls=True).over(before).alias(f"last_{c}") for c in columns])
+    on = F.col("part_") == F.col("p_")
+    for k in key:
+        on &= F.col(k).eqNullSafe(F.col(f"k_{k}"))
+    return d.join(ends, on, "left").withColumns({c: F.coalesce(c, f"last_{c}") for c in columns}).select(*rows.columns)
 
 
 def number_rows(rows: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:
@@ -58,6 +72,16 @@ def number_rows(rows: DataFrame, order: Sequence[str], name: str = "index") -> D
     return ranged.withColumn("n_", within).join(sizes, "part_").withColumn(name, F.col("n_") + F.col("before_")).drop("part_", "n_", "before_")
 
 
+def largest_by_magnitude(rows: DataFrame, value: str, tie: str, n: int) -> DataFrame:
+    """The n rows of the greatest magnitude, of equal ones the least ``tie``; nulls and NaN take no part."""
+    return rows.where(F.col(value).isNotNull() & ~F.isnan(value)).orderBy(F.abs(F.col(value)).desc(), F.col(tie)).limit(n)
+
+
+def next_batch(targets: DataFrame, attempted: DataFrame, key: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The first n targets, by ``order``, that weren't attempted yet."""
+    return targets.join(attempted.select(*key).distinct(), list(key), "left_anti").orderBy(*order).limit(n)
+
+
 def shards(rows: DataFrame, order: Sequence[str], count: int, name: str = "shard") -> DataFrame:
     """Contiguous balanced shards from 1; the first ones get the remainder."""
     d = number_rows(rows, order, "index_")

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from nightledger.operators.relational import keep_one
 
+#: Windows that a search may have.
+MAX_WINDOWS = 1_000
+
 
 def is_stable(status: str = "status", counts: str = "artifact_counts") -> Column:
     """A completed run with both a room inventory and property features."""
@@ -35,10 +38,19 @@ def failure_rollup(failures: DataFrame) -> DataFrame:
 
 
 def pending(targets: DataFrame, windows: DataFrame, priced: DataFrame, failed: DataFrame, final: list[str]) -> DataFrame:
-    """Targets that lack a window which is neither priced nor failed for good."""
+    """Targets that lack a window which is neither priced nor failed for good.
+
+    The windows are a search's own, at most ``MAX_WINDOWS``, and are inlined into each target's row.
+    """
     key = ["property_url", "lead_time_days", "stay_length_days"]
     done = priced.select(*key).unionByName(failed.where(F.col("category").isin(final)).select(*key)).distinct()
-    need = targets.select("property_url").distinct().join(windows.select(*key[1:]).distinct().withColumn("one", F.lit(1)), F.col("one") == 1).drop("one")
+    listed = windows.select(*key[1:]).distinct().limit(MAX_WINDOWS + 1).collect()
+    if len(listed) > MAX_WINDOWS:
+        raise ValueError(f"more than {MAX_WINDOWS} windows")
+    if not listed:
+        return targets.select("property_url", F.lit(0).cast("long").alias("missing")).limit(0)
+    grid = F.array(*[F.struct(*[F.lit(r[k]).alias(k) for k in key[1:]]) for r in listed])
+    need = targets.select("property_url").distinct().select("property_url", F.inline(grid))
     return need.join(done, key, "left_anti").groupBy("property_url").agg(F.count("*").alias("missing"))
 
 

@@ -88,7 +88,7 @@ def snapshot_changes(
     )
 
 
-#: The eight values that name a property and search window within a snapshot.
+# The eight that name a property and search window within a snapshot.
 WINDOW_KEY = ("property_url", "lead_time_days", "stay_length_days", "adults", "children", "rooms", "currency", "market")
 
 

@@ -146,17 +146,20 @@ def points_in_regions(points: DataFrame, lat: str, lon: str, regions: DataFrame,
     """Every point with every region that contains it.
 
     ``ring`` is an array of ``struct<lat: double, lon: double>``, the corners of a simple polygon of
-    less than half the globe that doesn't span the date line; a corner may be repeated at the end.
+    less than half the globe; a corner may be repeated at the end. Longitudes are taken as they lie from the
+    first corner, the short way round, so that rings may run over the date line.
     Each region's bounding ball is covered at the level of its own size, so regions of all sizes join
     in one pass; a point carries one bin for each level that occurs, 18 at most. An even-odd test then
     decides; points on an edge may fall either way. Rows without a usable place, and regions that are
     null or have under three corners, give nothing. Columns: those of ``points``, then ``region_id``.
     """
     corners = F.col("ring_")
+    from_first = lambda lon, first: F.pmod(lon - first + 180.0, F.lit(360.0)) - 180.0 + first
     mid = [(F.array_min(F.transform(corners, lambda p: p[c])) + F.array_max(F.transform(corners, lambda p: p[c]))) / 2 for c in ("lat", "lon")]
     reg = (
         regions.select(F.col(region_id).alias("rid_"), F.col(ring).alias("ring_"))
         .where(F.col("rid_").isNotNull() & (F.size("ring_") >= 3))
+        .withColumn("ring_", F.transform("ring_", lambda p: F.struct(p["lat"].alias("lat"), from_first(p["lon"], F.get("ring_", F.lit(0))["lon"]).alias("lon"))))
         .withColumns({"clat": mid[0], "clon": mid[1]})
         .withColumn("radius", F.array_max(F.transform(corners, lambda p: haversine_km(F.col("clat"), F.col("clon"), p["lat"], p["lon"]))) * 1.05 + 0.01)
         .withColumn("level", F.greatest(F.lit(1), F.least(F.lit(FINE), F.floor(F.log2(F.lit(2 * EARTH_KM) / F.col("radius"))).cast("int"))))
@@ -178,7 +181,8 @@ def points_in_regions(points: DataFrame, lat: str, lon: str, regions: DataFrame,
         F.struct(*[F.col(c) for c in points.columns]).alias("point_"), F.col(lat).alias("y_at"), F.col(lon).alias("x_at"), F.explode(F.array(*[F.struct(F.lit(lv).alias("lv"), F.shiftright(code, 3 * (FINE - lv) + 3).alias("b")) for lv in levels])).alias("bins_")
     )
     joined = keyed.join(covers, (F.col("bins_.lv") == F.col("level")) & (F.col("bins_.b") == F.col("bin_")), "inner")
-    y, x = F.col("y_at"), F.col("x_at")
+    y, x = F.col("y_at"), F.col("x_")
+    joined = joined.withColumn("x_", from_first(F.col("x_at"), F.get(corners, F.lit(0))["lon"]))
     n = F.size(corners)
     crossings = F.aggregate(
         F.sequence(F.lit(0), n - 1),

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.operators.quantiles import medians
+from nightledger.operators.quantiles import medians, quantiles_of_counts
 from nightledger.operators.relational import keep_one
+from nightledger.session import store
 
 
 def modes(rows: DataFrame, group: Sequence[str], column: str, name: str) -> DataFrame:
@@ -21,6 +22,19 @@ def modes(rows: DataFrame, group: Sequence[str], column: str, name: str) -> Data
     return counts.groupBy(*group).agg(F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias(name))
 
 
+def usual_values(rows: DataFrame, group: Sequence[str], text: str, number: str) -> DataFrame:
+    """The group's median number where it has any, and its most frequent text, which stands in where it hasn't."""
+    usual = modes(rows, group, text, "usual_text")
+    middle = medians(rows, group, F.col(number).cast("string").try_cast("double"), "usual_number").drop("n")
+    return usual.join(middle, list(group), "full_outer")
+
+
+def default_subject(rows: DataFrame, entity: str) -> DataFrame:
+    """One row: the entity with the most rows, of equal ones the least; blank ones don't count."""
+    counts = rows.where(F.trim(F.col(entity)) != "").groupBy(entity).agg(F.count("*").alias("rows"))
+    return counts.agg(F.min_by(F.struct(entity, "rows"), F.struct(-F.col("rows"), F.col(entity))).alias("x")).where("x is not null").select("x.*")
+
+
 def type_counts(rows: DataFrame, column: str) -> DataFrame:
     label = F.coalesce(F.nullif(F.trim(F.col(column)), F.lit("")), F.lit("(missing)"))
     return rows.groupBy(label.alias("label")).agg(F.count("*").alias("n"))
@@ -35,26 +49,32 @@ def missing_shares(rows: DataFrame) -> DataFrame:
 
 
 def profiles(offers: DataFrame, entity: str) -> DataFrame:
-    """One row an entity: its usual name and type, median numbers, rows and distinct rooms; null entities have none."""
-    d = offers.where(F.trim(F.col(entity)) != "")
-    out = d.groupBy(entity).agg(F.count("*").alias("offer_rows"))
-    rooms = d.where(F.col("room_id").isNotNull()).select(entity, "room_id").distinct().groupBy(entity).agg(F.count("*").alias("distinct_rooms"))
-    out = out.join(rooms, entity, "left").withColumn("distinct_rooms", F.coalesce("distinct_rooms", F.lit(0).cast("long")))
-    for c in ("property_name", "property_type"):
-        out = out.join(modes(d, [entity], c, c), entity, "left")
-    for c in ("latitude", "longitude", "price_per_night"):
-        out = out.join(medians(d, [entity], F.col(c), f"median_{c}").drop("n"), entity, "left")
-    return out
-
-
-def distinct_sorted(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, options): the sorted distinct values of each column, as text separated by commas.
-
-    For columns of few values, such as lead times; values are made distinct before they are gathered.
+    """One row an entity: its usual name and type, median numbers, rows and distinct rooms; null entities have none.
+
+    All of it comes from one table of counts, a row for each entity, measure and value: numbers and texts alike
+    are counted before they move, and an entity with many rows is many counts in no one's hands.
     """
-    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"), F.col(c).cast("double").alias("o")) for c in columns])
-    d = rows.select(*columns).distinct().select(F.inline(each)).where("v is not null").distinct()
-    return d.groupBy("column").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o", "v"))), lambda x: x["v"]), ",").alias("options"))
+    numbers, texts = ("latitude", "longitude", "price_per_night"), ("property_name", "property_type")
+    none = F.lit(None)
+    of = lambda m, text, number: F.struct(F.lit(m).alias("measure"), text.cast("string").alias("text"), number.cast("double").alias("number"))
+    each = [of("rows", none, none), of("room", F.col("room_id"), none), *[of(c, F.trim(c), none) for c in texts], *[of(c, none, F.col(c) + F.lit(0.0)) for c in numbers]]
+    d = offers.where(F.trim(F.col(entity)) != "").select(F.col(entity).alias("e"), F.inline(F.array(*each)))
+    counts, _ = store(d.groupBy("e", "measure", "text", "number").agg(F.count("*").alias("c")), "profile-counts")
+    middle = quantiles_of_counts(counts.where(F.col("measure").isin(*numbers) & F.col("number").isNotNull() & ~F.isnan("number")).select("e", "measure", F.col("number").alias("value"), "c"), ["e", "measure"], {"median": 0.5})
+    usual = F.struct(-F.col("c"), F.col("text"))
+    one = counts.groupBy("e").agg(
+        F.sum(F.when(F.col("measure") == "rows", F.col("c"))).alias("offer_rows"),
+        F.count_if((F.col("measure") == "room") & F.col("text").isNotNull()).alias("distinct_rooms"),
+        *[F.min_by("text", F.when((F.col("measure") == c) & (F.col("text") != ""), usual)).alias(c) for c in texts],
+    )
+    medians_of = middle.groupBy("e").agg(*[F.max(F.when(F.col("measure") == c, F.col("median"))).alias(f"median_{c}") for c in numbers])
+    return one.join(medians_of, "e", "left").withColumnRenamed("e", entity)
+
+
+def distinct_options(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, option): a row for each distinct value of each column, as text; nulls are no options."""
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("option")) for c in columns])
+    return rows.select(*columns).distinct().select(F.inline(each)).where("option is not null").distinct()
 
 
 def history_status(tables: Sequence[DataFrame], column: str, least: int = 2) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nightledger.functions import offers as fo
-from nightledger.functions.text import canonical_url, value_set
+from nightledger.functions.text import canonical_url, finite, value_set
 from nightledger.operators import models, quantiles, relational, summaries, validation
 from nightledger.operators.spatial import haversine_km, near_pairs, usable
 from nightledger.session import store
@@ -102,19 +102,30 @@ def sca12_canonical_url(spark, folder):
 
 
 @query(
-    """select observation_id, round(price_per_night, 2) as us_style, round(price_per_night, 2) as eu_style from price_observations
-    where price_per_night > 0 and not isnan(price_per_night) and price_per_night < 1e7"""
+    """select observation_id, case when isnan(price_per_night) then null else round(price_per_night, 2) end as us_style,
+    case when isnan(price_per_night) then null else round(price_per_night, 2) end as eu_style from price_observations"""
 )
 def sca02_price_text(spark, folder):
-    d = _offers(spark, folder).where(fo.valid_price("price_per_night").isNotNull())
-    us = F.concat(F.lit("EUR "), F.format_number("price_per_night", 2))
-    eu = F.concat(F.translate(F.format_number("price_per_night", 2), ",.", ".,"), F.lit(" €"))
+    d = _offers(spark, folder).select("observation_id", F.format_number(finite("price_per_night"), 2).alias("us"))
+    us, eu = F.concat(F.lit("EUR "), F.col("us")), F.concat(F.translate("us", ",.", ".,"), F.lit(" €"))
     return d.select("observation_id", fo.parse_price(us).alias("us_style"), fo.parse_price(eu).alias("eu_style"))
 
 
+# price texts and what they say; null where they are no price
+_PRICE_TEXTS = {
+    "EUR 1,095": 1095.0, "EUR 919": 919.0, "EUR 1,095.50": 1095.5, "EUR 1.095,50": 1095.5, "EUR 2.800": 2800.0, "": None, "Price unavailable": None, "1,2,3": None, "1.095,5,0": None,
+    "1.2.3": None, "12,5": 12.5, "12.5": 12.5, "-1.234,5": -1234.5, "1,234,567": 1234567.0, "5-": None, "-": None, ",5": 0.5, "1,234,56": None, "€ 1 095": 1095.0,
+}
+
+
+@query("select * from (values " + ", ".join(f"('{t}', {'null' if v is None else v}::double)" for t, v in _PRICE_TEXTS.items()) + ") x(text, price)")
+def sca02_price_literals(spark, folder):
+    return spark.createDataFrame([(t,) for t in _PRICE_TEXTS], "text string").select("text", fo.parse_price("text").alias("price"))
+
+
 @query(
     """select observation_id, case when stay_length_days > 0 then round(current_price_value / stay_length_days, 2) end as nightly
-    from price_observations where not isnan(current_price_value) and abs(current_price_value) < 1e9"""
+    from price_observations where not isnan(current_price_value)"""
 )
 def sca03_nightly(spark, folder):
     d = _offers(spark, folder).where(F.col("current_price_value").isNotNull() & ~F.isnan("current_price_value"))
@@ -172,9 +183,9 @@ _TOKENS_SQL = r"""tok as (select spec_id, list_sort(list_distinct(list_filter(li
 
 
 @query(
-    f"with {_TOKENS_SQL}, j as (select spec_id, array_to_string(tokens, ' | ') as t from tok) select spec_id, "
-    + ", ".join(f"(regexp_matches(t, '{'|'.join(chr(92) + 'b' + p + chr(92) + 'b' for p in ps)}'))::int as hq__{n}" for n, ps in fo.QUALITY_PHRASES.items())
-    + " from j"
+    f"with {_TOKENS_SQL} select spec_id, "
+    + ", ".join(f"(len(list_filter(tokens, lambda t: {' or '.join(f"regexp_matches(t, '{chr(92)}b{p}{chr(92)}b')" for p in ps)})) > 0)::int as hq__{n}" for n, ps in fo.QUALITY_PHRASES.items())
+    + " from tok"
 )
 def sca11_quality_flags(spark, folder):
     flags = fo.quality_flags(value_set("amenities", "property_facilities"))
@@ -217,7 +228,7 @@ def _rounded(d: DataFrame) -> DataFrame:
     return d.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in d.dtypes])
 
 
-@query(f"select market, count(*) as n, min(v) as least, round(avg(v), 6) as mean, max(v) as greatest, {_DIST} from (select market, {_PRICE} as v from price_observations) where v is not null and v < 1e6 group by 1")
+@query(f"select market, count(*) as n, min(v) as least, round(avg(v), 6) as mean, max(v) as greatest, {_DIST} from (select market, {_PRICE} as v from price_observations) where v is not null group by 1")
 def agg05_price_distribution(spark, folder):
     d = _offers(spark, folder)
     return _rounded(quantiles.distribution(d, ["market"], fo.valid_price("price_per_night")))
@@ -308,9 +319,9 @@ def agg16_catalog(spark, folder):
     return summaries.catalog(_offers(spark, folder), "observation_id")
 
 
-@query(" union all ".join(f"select '{c}' as column, string_agg({c}::varchar, ',' order by {c}) as options from (select distinct {c} from price_observations where {c} is not null)" for c in ("lead_time_days", "stay_length_days", "adults")))
+@query(" union all ".join(f"select distinct '{c}' as column, {c}::varchar as option from price_observations where {c} is not null" for c in ("lead_time_days", "stay_length_days", "adults")))
 def agg18_options(spark, folder):
-    return summaries.distinct_sorted(_offers(spark, folder), ["lead_time_days", "stay_length_days", "adults"])
+    return summaries.distinct_options(_offers(spark, folder), ["lead_time_days", "stay_length_days", "adults"])
 
 
 @query(
@@ -380,8 +391,8 @@ def win01_previous_snapshot(spark, folder):
 
 @query(
     f"""with {_HISTORY}, l as (select status as s, lag(status) over (partition by u, {', '.join(_WINDOW[1:])} order by snapshot_date) as p from h)
-    select case when p is null or s = 'scrape_failed' or p = 'scrape_failed' then 'unknown' when s = 'available' and p = 'available' then 'available' when s = 'available' then 'newly_available'
-      when p = 'available' then 'disappeared' when s = 'no_available_offer' and p = 'no_available_offer' then 'still_unavailable' else 'unknown' end as state, count(*) as n from l group by 1"""
+    select case when p = 'available' and s = 'available' then 'available' when p = 'no_available_offer' and s = 'available' then 'newly_available'
+      when p = 'available' and s = 'no_available_offer' then 'disappeared' when p = 'no_available_offer' and s = 'no_available_offer' then 'still_unavailable' else 'unknown' end as state, count(*) as n from l group by 1"""
 )
 def prd01_availability_state(spark, folder):
     d = relational.previous(_history(spark, folder), _WINDOW, "snapshot_date", ["status"])
@@ -477,6 +488,7 @@ def join15_not_configured(spark, folder):
     return _offers(spark, folder).select(canonical_url("property_url").alias("property_url")).distinct().join(known, "property_url", "left_anti")
 
 
+# What each part of the similarity weighs.
 _WEIGHTS = {"size": 0.18, "beds": 0.15, "review": 0.17, "stars": 0.12, "tokens": 0.16, "type": 0.22}
 
 
@@ -520,18 +532,6 @@ def biz04_near_peers(spark, folder):
 # --- validation, statistics, streams
 
 
-@query(
-    """select 'missing_field' as check, sum((trim(coalesce(property_url,''))='')::int + (trim(coalesce(room_id,''))='')::int + (trim(coalesce(room_name,''))='')::int + (trim(coalesce(block_id,''))='')::int
-      + (trim(coalesce(currency,''))='')::int + (trim(coalesce(market,''))='')::int) as issues from price_observations
-    union all select 'missing_window', sum((lead_time_days is null)::int + (stay_length_days is null)::int) from price_observations
-    union all select 'price', count(*) from price_observations where not isnan(price_per_night) and price_per_night <= 0
-    union all select 'nightly', count(*) from price_observations where not isnan(price_per_night) and not isnan(current_price_value) and stay_length_days <> 0 and abs(current_price_value / stay_length_days - price_per_night) > 0.01 + 1e-9"""
-)
-def val07_issue_counts(spark, folder):
-    found = validation.issues(_offers(spark, folder), validation.offer_rules(), F.col("observation_id"))
-    return validation.issue_counts(found)
-
-
 @query("select l_returnflag, round(quantile_cont(l_extendedprice - l_quantity * 1000, 0.1), 6) as lower, round(quantile_cont(l_extendedprice - l_quantity * 1000, 0.9), 6) as upper from lineitem group by 1")
 def ml16_residual_band(spark, folder):
     d = table(spark, folder, "lineitem").withColumn("r", F.col("l_extendedprice") - F.col("l_quantity") * 1000)

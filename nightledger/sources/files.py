@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nightledger.session import remove_path
+from nightledger.session import list_names, remove_path, write_bytes
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -85,9 +83,7 @@ class VersionedTable:
         self.spark, self.path = spark, path
 
     def _version(self) -> int:
-        if not path_exists(self.spark, f"{self.path}/current"):
-            return 0
-        return max(json.loads(r[0])["version"] for r in self.spark.read.text(f"{self.path}/current").collect())
+        return max((int(n) for n in list_names(self.spark, f"{self.path}/current") if n.isdigit()), default=0)
 
     def read(self, schema: T.StructType | str) -> DataFrame:
         v = self._version()
@@ -97,8 +93,8 @@ class VersionedTable:
         """Write the next version, which may be computed from this one, and keep the last but one."""
         v = self._version() + 1
         rows.write.mode("overwrite").parquet(f"{self.path}/v{v}")
-        pointer = self.spark.createDataFrame([(json.dumps({"version": v}),)], "value string")
-        pointer.coalesce(1).write.mode("append").text(f"{self.path}/current")
+        write_bytes(self.spark, f"{self.path}/current/{v}", b"")
         if v > 2:
+            remove_path(self.spark, f"{self.path}/current/{v - 2}")
             remove_path(self.spark, f"{self.path}/v{v - 2}")
         return v

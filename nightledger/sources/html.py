@@ -1,78 +1,171 @@
-"""Rows from captured pages. Markup in the wild is broken, so the standard library's tolerant parser reads it."""
+"""Rows from captured pages. Markup in the wild is broken, so the standard library's tolerant parser reads it.
+
+A page becomes a list of events, one for each tag and piece of text, and everything here is read off that list.
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.functions.offers import room_of_block
 from nightledger.session import ship_package
 
-_UNSEEN = {"script", "style", "noscript"}
-#: A link to a room of the same page.
+# What marks a listing's card and its parts, an offer's row and its parts, a room's link.
+CARD = ("data-testid", "property-card")
+CARD_PARTS = {"name": ("data-testid", "title"), "price_text": ("data-testid", "price-and-discounted-price"), "review_score_text": ("data-testid", "review-score"), "recommended_unit_text": ("data-testid", "recommended-units")}
+OFFER_ROW, ROOM_CELL, ROOM_LINK = "js-rt-block-row", "hprt-table-cell-roomtype", "hprt-roomtype-link"
+OFFER_PARTS = {
+    "current_price_text": "bui-price-display__value", "original_price_text": "bui-price-display__original",
+    "occupancy_text": "hprt-table-cell-occupancy", "conditions_text": "hprt-table-cell-conditions", "scarcity_text": "only_x_left",
+}
+_HIDDEN = re.compile(r"(?is)<(script|style|noscript)\b.*?(?:</\1\s*>|\Z)")
 _ROOM = re.compile(r"#RD([0-9]+)")
+_HOTEL = re.compile(r"(?i)/hotel/[a-z]{2}/[^/]+\.html$")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
-class _Text(HTMLParser):
+class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.parts: list[str] = []
-        self.hidden = 0
+        self.events: list[tuple[str, str, dict]] = []
 
     def handle_starttag(self, tag, attrs):
-        self.hidden += tag in _UNSEEN
+        self.events.append(("open", tag, dict(attrs)))
 
     def handle_endtag(self, tag):
-        if tag in _UNSEEN and self.hidden:
-            self.hidden -= 1
-        elif tag not in _VOID:
-            self.parts.append(" ")
+        self.events.append(("close", tag, {}))
 
     def handle_data(self, data):
-        if not self.hidden:
-            self.parts.append(data)
+        self.events.append(("text", data, {}))
+
+
+def events(html: str | None) -> list[tuple[str, str, dict]]:
+    """(open, tag, attributes), (close, tag, -) and (text, data, -), scripts and styles left out."""
+    reader = _Reader()
+    reader.feed(_HIDDEN.sub(" ", html or ""))
+    reader.close()
+    return reader.events
+
+
+def _clean(parts: list[str]) -> str | None:
+    return " ".join(" ".join(parts).split()) or None
 
 
 def text_of(html: str | None) -> str | None:
-    """What a page shows, in lower case, white space collapsed, curly apostrophes straight."""
+    """What a page shows, or where it shows nothing its source: lower case, white space collapsed, straight apostrophes."""
     if html is None:
         return None
-    p = _Text()
-    p.feed(html)
-    p.close()
-    return " ".join("".join(p.parts).replace("’", "'").replace("‘", "'").split()).lower()
-
+    shown = _clean([data for kind, data, _ in events(html) if kind == "text"]) or html
+    return " ".join(shown.replace("’", "'").replace("‘", "'").split()).lower()
+
+
+def _element(evs: list, at: int) -> list:
+    """The events from an opening tag to the one that closes it, or to the end."""
+    tag = evs[at][1]
+    if tag in _VOID:
+        return evs[at : at + 1]
+    depth = 0
+    for k in range(at, len(evs)):
+        if evs[k][1] == tag and evs[k][0] != "text":
+            depth += 1 if evs[k][0] == "open" else -1
+            if depth == 0:
+                return evs[at : k + 1]
+    return evs[at:]
+
+
+def _first(evs: list, wanted: Callable[[str, dict], bool]) -> list | None:
+    at = next((k for k, (kind, tag, attrs) in enumerate(evs) if kind == "open" and wanted(tag, attrs)), None)
+    return None if at is None else _element(evs, at)
+
+
+def _shown(evs: list | None) -> str | None:
+    return None if evs is None else _clean([data for kind, data, _ in evs if kind == "text"])
+
+
+def _classed(name: str) -> Callable[[str, dict], bool]:
+    return lambda tag, attrs: name in (attrs.get("class") or "").split()
+
+
+def links_of(html: str | None) -> list[tuple[str, str]]:
+    """(href, text) of each closed link, in order."""
+    evs = events(html)
+    out = []
+    for k, (kind, tag, attrs) in enumerate(evs):
+        if kind == "open" and tag == "a" and attrs.get("href"):
+            whole = _element(evs, k)
+            if whole[-1][0] == "close":
+                out.append((attrs["href"], " ".join("".join(d for kind, d, _ in whole if kind == "text").split())))
+    return out
+
+
+def listings_of(html: str | None) -> list[tuple]:
+    """(name, url, price_text, review_score_text, recommended_unit_text) of each card with a name and a hotel's address, the first of each address."""
+    evs = events(html)
+    seen: dict[str, tuple] = {}
+    for k, (kind, _, attrs) in enumerate(evs):
+        if kind != "open" or attrs.get(CARD[0]) != CARD[1]:
+            continue
+        card = _element(evs, k)
+        hrefs = [a["href"] for kind, tag, a in card if kind == "open" and tag == "a" and a.get("href") and a.get("data-testid") == "title-link"]
+        hrefs += [a["href"] for kind, tag, a in card if kind == "open" and tag == "a" and "/hotel/" in (a.get("href") or "")]
+        url = re.split("[?#]", hrefs[0].strip(), maxsplit=1)[0] if hrefs else ""
+        parts = {name: _shown(_first(card, lambda tag, a, m=mark: a.get(m[0]) == m[1])) for name, mark in CARD_PARTS.items()}
+        if parts["name"] and _HOTEL.search(url):
+            seen.setdefault(url, (parts.pop("name"), url, *parts.values()))
+    return list(seen.values())
+
+
+def offers_of(html: str | None) -> list[tuple]:
+    """(room_id, room_name, block_id, texts of ``OFFER_PARTS``, quantity options) of each offer's row.
+
+    A row without a room's cell belongs to the room of the last row that had one.
+    """
+    evs = events(html)
+    out = []
+    room = (None, None, None)
+    for k, (kind, tag, attrs) in enumerate(evs):
+        if kind != "open" or tag != "tr" or not _classed(OFFER_ROW)(tag, attrs):
+            continue
+        row = _element(evs, k)
+        cell = _first(row, lambda tag, a: tag == "th" and _classed(ROOM_CELL)(tag, a))
+        if cell is not None:
+            link = _first(cell, _classed(ROOM_LINK))
+            room = (link[0][2].get("data-room-id") if link else None, _shown(link), _shown(_first(cell, _classed(OFFER_PARTS["scarcity_text"]))))
+        texts = [_shown(_first(row, _classed(c))) for name, c in OFFER_PARTS.items() if name != "scarcity_text"]
+        options = [t for j, (kind, tag, _) in enumerate(row) if kind == "open" and tag == "option" and (t := _shown(_element(row, j)))]
+        out.append((room[0], room[1], attrs.get("data-block-id"), *texts, room[2], options))
+    return out
+
+
+def _parsed(pages: DataFrame, page: str, html: str, rows_of: Callable[[str | None], list[tuple]], schema: str) -> DataFrame:
+    """(page, position, ...): the rows of each page, numbered from 1, by Arrow batches."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
 
-class _Links(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.found: list[tuple[str, str]] = []
-        self.open: list[list] = []
+    ship_package(pages.sparkSession)
+    whole = f"page {pages.schema[page].dataType.simpleString()}, position int, {schema}"
+    arrow = to_arrow_schema(StructType.fromDDL(whole))
 
-    def handle_starttag(self, tag, attrs):
-        href = dict(attrs).get("href")
-        if tag == "a" and href:
-            self.open.append([href, []])
+    def parse(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    def handle_endtag(self, tag):
-        if tag == "a" and self.open:
-            href, parts = self.open.pop()
-            self.found.append((href, " ".join("".join(parts).split())))
+        for b in batches:
+            rows = [(i, n, *r) for i, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for n, r in enumerate(rows_of(h), 1)]
+            cols = list(zip(*rows)) if rows else [[]] * len(arrow)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
 
-    def handle_data(self, data):
-        for o in self.open:
-            o[1].append(data)
+    return pages.select(F.col(page).alias("page"), F.col(html).alias("html")).mapInArrow(parse, whole)
 
 
 def visible_text(pages: DataFrame, html: str, name: str) -> DataFrame:
     """Adds the shown text of each page, by Arrow batches."""
-    from pyspark.sql.functions import pandas_udf
-
     import pandas as pd
+    from pyspark.sql.functions import pandas_udf
 
     def shown(col: pd.Series) -> pd.Series:
         return col.map(text_of)
@@ -87,26 +180,14 @@ def links(pages: DataFrame, page: str, html: str) -> DataFrame:
 
     Targets are cut before query and fragment, but those within the page (``#...``) are whole.
     """
-    ship_package(pages.sparkSession)
-    kind = pages.schema[page].dataType.simpleString()
 
-    def parse(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+    def rows_of(h: str | None) -> list[tuple]:
+        seen: dict[str, str] = {}
+        for href, text in links_of(h):
+            seen.setdefault(href if href.startswith("#") else href.split("?")[0].split("#")[0], text)
+        return list(seen.items())
 
-        for b in batches:
-            rows = []
-            for i, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                p = _Links()
-                p.feed(h or "")
-                p.close()
-                seen = {}
-                for href, text in p.found:
-                    seen.setdefault(href if href.startswith("#") else href.split("?")[0].split("#")[0], text)
-                rows += [(i, n, u, t) for n, (u, t) in enumerate(seen.items(), 1)]
-            cols = list(zip(*rows)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.column(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=["page", "position", "href", "text"])
-
-    return pages.select(F.col(page).alias("page"), F.col(html).alias("html")).mapInArrow(parse, f"page {kind}, position int, href string, text string")
+    return _parsed(pages, page, html, rows_of, "href string, text string")
 
 
 def room_inventory(pages: DataFrame, page: str, html: str) -> DataFrame:
@@ -114,24 +195,27 @@ def room_inventory(pages: DataFrame, page: str, html: str) -> DataFrame:
 
     The first link of a room that shows a name counts; links without any are left out.
     """
-    ship_package(pages.sparkSession)
-    kind = pages.schema[page].dataType.simpleString()
 
-    def parse(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+    def rows_of(h: str | None) -> list[tuple]:
+        seen: dict[str, str] = {}
+        for href, text in links_of(h):
+            if text and (m := _ROOM.match(href)):
+                seen.setdefault(m[1], text)
+        return list(seen.items())
 
-        for b in batches:
-            rows = []
-            for i, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                p = _Links()
-                p.feed(h or "")
-                p.close()
-                seen = {}
-                for href, text in p.found:
-                    if text and (m := _ROOM.match(href)):
-                        seen.setdefault(m[1], text)
-                rows += [(i, n, r, t) for n, (r, t) in enumerate(seen.items(), 1)]
-            cols = list(zip(*rows)) if rows else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], b.column(0).type), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=["page", "position", "room_id", "room_name"])
-
-    return pages.select(F.col(page).alias("page"), F.col(html).alias("html")).mapInArrow(parse, f"page {kind}, position int, room_id string, room_name string")
+    return _parsed(pages, page, html, rows_of, "room_id string, room_name string")
+
+
+def listings(pages: DataFrame, page: str, html: str) -> DataFrame:
+    """(page, position, name, url, price_text, review_score_text, recommended_unit_text): the cards of results pages."""
+    return _parsed(pages, page, html, listings_of, "name string, url string, price_text string, review_score_text string, recommended_unit_text string")
+
+
+def price_rows(pages: DataFrame, page: str, html: str) -> DataFrame:
+    """(page, position, room_id, room_name, block_id, texts, quantity_options): the offers of property pages.
+
+    Where no room's cell gave a room id, the block id's leading digits do.
+    """
+    names = [n for n in OFFER_PARTS if n != "scarcity_text"] + ["scarcity_text"]
+    d = _parsed(pages, page, html, offers_of, f"room_id string, room_name string, block_id string, {', '.join(f'{n} string' for n in names)}, quantity_options array<string>")
+    return d.withColumn("room_id", F.coalesce("room_id", room_of_block("block_id")))

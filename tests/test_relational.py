@@ -115,6 +115,18 @@ def test_least_squares_hc3_and_folds(spark):
     assert len(folds) == 17 and {r["fold"] for r in folds} == set(range(5))
 
 
+def test_folds_go_to_the_lightest(spark):
+    rng = np.random.default_rng(2)
+    for sizes in ([1000, 3, 3, 3, 2, 1, 1], [7] * 23 + [2] * 40 + [1] * 5, list(rng.integers(1, 9, 60))):
+        data = [(f"g{k}",) for k, n in enumerate(sizes) for _ in range(n)]
+        folds = {r["g"]: r["fold"] for r in models.group_folds(spark.createDataFrame(data, "g string"), "g", 4).collect()}
+        load = [0] * 4
+        for n in sorted(sizes, reverse=True):  # one by one
+            load[load.index(min(load))] += int(n)
+        got = [sum(int(n) for k, n in enumerate(sizes) if folds[f"g{k}"] == f) for f in range(4)]
+        assert len(folds) == len(sizes) and sorted(got) == sorted(load)
+
+
 def test_absurd_prices_count(spark, tmp_path, rows):
     from nightledger.plans import reference
 
@@ -122,7 +134,7 @@ def test_absurd_prices_count(spark, tmp_path, rows):
     spark.createDataFrame(data, "observation_id long, market string, price_per_night double, current_price_value double, stay_length_days int").write.parquet(str(tmp_path / "price_observations.parquet"))
     got = reference.agg05_price_distribution(spark, str(tmp_path)).first()
     assert (got["n"], got["least"], got["greatest"], got["mean"]) == (2, 100.0, 25e6, 12500050.0)
-    assert rows(reference.sca02_price_text(spark, str(tmp_path))) == [(1, 100.0, 100.0), (2, 25e6, 25e6)]
+    assert rows(reference.sca02_price_text(spark, str(tmp_path))) == [(1, 100.0, 100.0), (2, 25e6, 25e6), (3, None, None), (4, -1.0, -1.0), (5, None, None)]
     assert rows(reference.sca03_nightly(spark, str(tmp_path))) == [(1, 1.5e9), (4, 50.0), (5, None)]
 
 

@@ -62,3 +62,13 @@ def test_points_in_regions(spark, rows):
     got = points_in_regions(df, "lat", "lon", regions, "name", "ring").select("id", "name")
     assert rows(got) == [(1, "big"), (2, "big"), (2, "small"), (5, "big")]
     assert rows(points_in_regions(df, "lat", "lon", regions.limit(0), "name", "ring")) == []
+
+
+def test_regions_over_the_date_line(spark, rows):
+    ring = [(-10.0, 170.0), (10.0, 170.0), (10.0, -165.0), (-10.0, -165.0)]
+    turned = ring[2:] + ring[:2]
+    regions = spark.createDataFrame([("a", ring), ("b", turned)], "name string, ring array<struct<lat: double, lon: double>>")
+    points = [(1, 0.0, 175.0), (2, 0.0, -170.0), (3, 0.0, 180.0), (4, 0.0, -180.0), (5, 0.0, 169.0), (6, 0.0, -164.0), (7, 11.0, 175.0), (8, 1.0, 1.0)]
+    df = spark.createDataFrame(points, "id int, lat double, lon double")
+    got = points_in_regions(df, "lat", "lon", regions, "name", "ring").select("id", "name")
+    assert rows(got) == [(i, n) for i in (1, 2, 3, 4) for n in "ab"]
