@@ -10,10 +10,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.session import store
+from nightledger.operators.quantiles import cumulative_counts
 
 
 def binned(value: Column, relative_error: float) -> Column:
@@ -49,24 +49,7 @@ def percentiles(counts: DataFrame, group: Sequence[str], quantiles: Sequence[flo
     """
     if any(not 0 <= q <= 1 for q in quantiles):
         raise ValueError("quantiles lie in [0, 1]")
-    keys = [f"k{i}" for i in range(len(group))]
-    flat = counts.select(*[F.col(c).alias(k) for c, k in zip(group, keys)], "value", "n")
-    ranged = flat.repartitionByRange(*[F.col(k) for k in keys], F.col("value")).withColumn("part", F.spark_partition_id())
-    table, _ = store(ranged, "ranged-counts")
-    sums = table.groupBy("part", *keys).agg(F.sum("n").alias("part_n"))
-    # one row a partition and group: as many as there are partitions, besides one a group
-    whole = Window.partitionBy(*keys)
-    before = whole.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("part", *keys, F.coalesce(F.sum("part_n").over(before), F.lit(0)).alias("offset"), F.sum("part_n").over(whole).alias("total"))
-    running = Window.partitionBy("part", *keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    summed = table.withColumn("upto", F.sum("n").over(running))
-    on = F.col("l.part") == F.col("s.part")
-    for k in keys:
-        on &= F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}"))
-    joined = summed.alias("l").join(sums.alias("s"), on).select(*[F.col(f"l.{k}") for k in keys], "value", "n", (F.col("upto") + F.col("offset")).alias("upto"), "total")
+    joined = cumulative_counts(counts, group)
     ranks = F.array(*[F.struct(F.lit(float(q)).alias("q"), F.greatest(F.ceil(F.col("total") * float(q) - 1e-9), F.lit(1)).alias("rank")) for q in quantiles])
     hit = F.filter(ranks, lambda r: (r["rank"] <= F.col("upto")) & (r["rank"] > F.col("upto") - F.col("n")))
-    return (
-        joined.select(*keys, "value", "total", F.explode(hit).alias("r"))
-        .select(*[F.col(k).alias(c) for c, k in zip(group, keys)], F.col("r.q").alias("q"), "value", F.col("total").alias("n"))
-    )
+    return joined.select(*group, "value", "total", F.explode(hit).alias("r")).select(*group, F.col("r.q").alias("q"), "value", F.col("total").alias("n"))
