@@ -54,8 +54,19 @@ def _remove_local(path: str) -> None:
     shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
 
 
+_made: dict[str, list[str]] = {}
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/nightledger/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/nightledger/{name}-{uuid.uuid4().hex[:12]}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all intermediate tables made so far. Results that were not collected or written yet are lost with them."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        remove_path(spark, path)
 
 
 def _on_files(spark: SparkSession, path: str):
@@ -66,6 +77,9 @@ def _on_files(spark: SparkSession, path: str):
 def remove_path(spark: SparkSession, path: str) -> None:
     fs, target = _on_files(spark, path)
     fs.delete(target, True)
+    made = _made.get(spark.sparkContext.applicationId, [])
+    if path in made:
+        made.remove(path)
 
 
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
@@ -116,18 +130,31 @@ def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> tu
 _shipped: set[str] = set()
 
 
+def ship_file(spark: SparkSession, name: str, data: bytes) -> str:
+    """Hand a small file to all executors, by way of the shared folder. Returns its name for ``SparkFiles.get``."""
+    name = f"{uuid.uuid4().hex[:12]}-{name}"
+    path = f"{shared_dir(spark)}/nightledger/{name}"
+    write_bytes(spark, path, data)
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    spark.sparkContext.addFile(path)
+    return name
+
+
 def ship_package(spark: SparkSession) -> None:
     """Hand this package to the Python workers, once for each application: executors needn't have it installed."""
-    import shutil
+    import io
+    import zipfile
     from pathlib import Path
 
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     root = Path(__file__).resolve().parent
-    folder = Path(tempfile.mkdtemp(prefix="nightledger-code-"))
-    copy = folder / "code" / root.name
-    shutil.copytree(root, copy, ignore=shutil.ignore_patterns("__pycache__"))
-    spark.sparkContext.addPyFile(shutil.make_archive(str(folder / f"nightledger-{uuid.uuid4().hex[:8]}"), "zip", folder / "code"))
-    atexit.register(shutil.rmtree, folder, True)
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    path = f"{shared_dir(spark)}/nightledger/code-{uuid.uuid4().hex[:12]}.zip"
+    write_bytes(spark, path, packed.getvalue())
+    spark.sparkContext.addPyFile(path)
     _shipped.add(app)
