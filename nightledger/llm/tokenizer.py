@@ -12,8 +12,6 @@ import base64
 import heapq
 import mmap
 import struct
-import tempfile
-import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -22,13 +20,15 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.session import ship_package
+from nightledger.session import ship_file, ship_package
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the public vocabulary's splitting pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words in the transducer; with about 12 bytes a word it stays under a few MB.
 LEXICON_WORDS = 65_536
+#: Characters of a word in it; longer ones are merged in place, as all that it doesn't hold.
+LEXICON_LENGTH = 64
 #: Words a worker remembers besides, and distinct words it counts before it hands the counts on.
 _REMEMBERED, _COUNTED = 50_000, 200_000
 #: Texts encoded at once, so that a worker holds few of them as ids.
@@ -197,16 +197,11 @@ def encode_column(texts: DataFrame, key: str, column: str, vocabulary: str = DEF
     spark = texts.sparkSession
     ship_package(spark)
     ranks = load_ranks(vocabulary)
-    # at most lexicon_words rows; the least word wins a tie, so the lexicon is always the same
-    frequent = word_counts(texts, column, pattern).orderBy(F.desc("n"), "word").limit(lexicon_words)
+    # at most lexicon_words rows, none longer than LEXICON_LENGTH; the least word wins a tie, so the lexicon is always the same
+    frequent = word_counts(texts, column, pattern).where(F.length("word") <= LEXICON_LENGTH).orderBy(F.desc("n"), "word").limit(lexicon_words)
     blob = Transducer.build([r["word"].encode() for r in frequent.collect()], lambda w: merge(w, ranks))
-    folder = Path(tempfile.mkdtemp(prefix="lexicon-"))
-    name = f"lexicon-{uuid.uuid4().hex}.bin"
-    (folder / name).write_bytes(blob)
-    copy = f"ranks-{uuid.uuid4().hex}.tiktoken"
-    (folder / copy).write_bytes(Path(vocabulary).read_bytes())
-    spark.sparkContext.addFile(str(folder / name))
-    spark.sparkContext.addFile(str(folder / copy))
+    name = ship_file(spark, "lexicon.bin", blob)
+    copy = ship_file(spark, "ranks.tiktoken", Path(vocabulary).read_bytes())
 
     def encode(batches: Iterator) -> Iterator:
         import pyarrow as pa
