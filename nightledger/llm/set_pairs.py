@@ -9,14 +9,15 @@ combinations give fewer candidates. ``l`` is chosen for each class of set sizes
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from nightledger.session import store
+from nightledger.session import remove_path, ship_package, store
 
-#: Tokens in more than 1 / this of all (record, token) rows get their true frequency as rank. There can't
-#: be more than this many of them, so their table has a bound whatever the input is.
+#: Tokens in more than 1 / this of all (set, token) rows get their true frequency as rank. There can't
+#: be more than this many of them, so what reaches the tasks has a bound whatever the input is.
 RANKED_TOKENS = 100_000
 #: What handling one candidate pair costs, in signatures.
 PAIR_COST = 1.0
@@ -32,15 +33,34 @@ def size_classes(threshold: float, least: int, largest: int) -> list[int]:
 
 
 def _ordered_sets(sets: DataFrame) -> DataFrame:
-    """(set_id, tokens in rank order as hashes): rare tokens first, ties by hash."""
-    rows = sets.select("set_id", F.explode("tokens").alias("token"))
-    counts = rows.groupBy("token").agg(F.count("*").alias("n"))
-    total = sets.select(F.sum(F.size("tokens"))).first()[0] or 0
-    floor = max(2, total // RANKED_TOKENS + 1)
-    frequent, _ = store(counts.where(F.col("n") >= floor).select(F.xxhash64("token").alias("h"), "n"), "frequent-tokens")
-    hashed = rows.select("set_id", F.xxhash64("token").alias("h"))
-    ranked = hashed.join(F.broadcast(frequent), "h", "left").select("set_id", F.struct(F.coalesce("n", F.lit(1)).alias("n"), F.col("h")).alias("t"))
-    return ranked.groupBy("set_id").agg(F.sort_array(F.collect_list("t")).alias("ts")).select("set_id", F.col("ts.h").alias("ts"))
+    """(set_id, n, ts): tokens in rank order, rare ones first, ties by hash."""
+    seen = Observation()
+    counts = sets.select(F.explode("ts").alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    frequent, path = store(counts.observe(seen, F.sum("n").alias("total")).where("n > 1"), "token-counts")
+    floor = max(2, (seen.get["total"] or 0) // RANKED_TOKENS + 1)
+    ranks = sorted((r["h"], r["n"]) for r in frequent.where(F.col("n") >= floor).collect())  # RANKED_TOKENS at most
+    remove_path(sets.sparkSession, path)
+    shared = sets.sparkSession.sparkContext.broadcast(ranks)
+
+    def order(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        known = np.array([h for h, _ in shared.value], np.int64)
+        rank = np.array([n for _, n in shared.value], np.int64)
+        for b in batches:
+            lists = b.column("ts")
+            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+            n = np.ones(len(flat), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+                n = np.where(known[at] == flat, rank[at], 1)
+            owner = np.repeat(np.arange(b.num_rows), np.diff(offsets))
+            ordered = flat[np.lexsort((flat, n, owner))]
+            yield pa.RecordBatch.from_arrays([b.column("set_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ordered))], names=["set_id", "ts"])
+
+    return sets.select("set_id", "ts").mapInArrow(order, "set_id long, ts array<long>")
 
 
 def _combinations(prefix: Column, n: int) -> Column:
@@ -130,22 +150,22 @@ def _chosen_sizes(roles: DataFrame, threshold: float, bounds: list[int], homes:
 def similar_sets(sets: DataFrame, threshold: float = 0.8, least_size: int = 1) -> DataFrame:
     """Pairs of different sets with intersection / union of at least ``threshold``.
 
-    ``sets`` has ``set_id`` and ``tokens`` (distinct strings), each set once. Columns ``a``, ``b``
-    with a < b, and ``similarity``. Smaller sets than ``least_size`` take no part. Null tokens must
-    have been removed; an empty table gives no rows.
+    ``sets`` has ``set_id`` (long) and ``ts`` (distinct hashes of the tokens), each set once. Columns ``a``, ``b``
+    with a < b, and ``similarity``. Smaller sets than ``least_size`` take no part; an empty table gives no rows.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must lie in (0, 1]")
-    sets = sets.select("set_id", "tokens").where(F.size("tokens") >= max(1, least_size))
+    sets = sets.select("set_id", "ts").where(F.size("ts") >= max(1, least_size))
     stored, _ = store(_ordered_sets(sets), "ordered-sets")
-    largest = stored.select(F.max(F.size("ts"))).first()[0]
-    empty = sets.select(F.col("set_id").alias("a"), F.col("set_id").alias("b"), F.lit(0.0).alias("similarity")).limit(0)
-    if largest is None:
-        return empty
-    bounds = size_classes(threshold, max(1, least_size), largest)
+    # one row for each size that occurs
+    sizes = [r[0] for r in stored.select(F.size("ts").alias("n")).distinct().collect()]
+    if not sizes:
+        return sets.select(F.col("set_id").alias("a"), F.col("set_id").alias("b"), F.lit(0.0).alias("similarity")).limit(0)
+    bounds = size_classes(threshold, max(1, least_size), max(sizes))
     roles = _roles(stored, threshold, bounds)
-    homes = [r[0] for r in roles.select("home").distinct().collect()]
-    chosen = _chosen_sizes(roles, threshold, bounds, [h for h in homes if h < len(bounds)])
+    homes = {max(k for k, b in enumerate(bounds) if b <= n) for n in sizes}
+    homes |= {k + 1 for k in homes if k + 1 < len(bounds)}
+    chosen = _chosen_sizes(roles, threshold, bounds, sorted(homes))
     sigs = _signatures(roles, chosen)
     left = sigs.where("large").select("home", "sig", F.col("n").alias("n_l"), F.col("set_id").alias("l"))
     right = sigs.select("home", "sig", F.col("n").alias("n_r"), F.col("set_id").alias("r"), F.col("large").alias("r_large"))
@@ -155,24 +175,32 @@ def similar_sets(sets: DataFrame, threshold: float = 0.8, least_size: int = 1) -
         .select(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b"))
         .distinct()
     )
-    tokens_a = sets.select(F.col("set_id").alias("a"), F.col("tokens").alias("ta"))
-    tokens_b = sets.select(F.col("set_id").alias("b"), F.col("tokens").alias("tb"))
+    tokens_a = stored.select(F.col("set_id").alias("a"), F.col("ts").alias("ta"))
+    tokens_b = stored.select(F.col("set_id").alias("b"), F.col("ts").alias("tb"))
     shared = F.size(F.array_intersect("ta", "tb"))
     similarity = shared / (F.size("ta") + F.size("tb") - shared)
     return candidates.join(tokens_a, "a").join(tokens_b, "b").select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
 def distinct_sets(records: DataFrame, record_id: str, tokens: Column, least_size: int) -> tuple[DataFrame, DataFrame]:
-    """Records of one and the same set as one class: (sets of ``name``, ``set_id``, ``tokens``; members of ``set_id``, ``id``).
+    """Records of one and the same set as one class: (sets of ``set_id``, ``name``, ``ts``; members of ``set_id``, ``id``).
 
-    A class is named by the MD5 of its sorted tokens, and numbered for the joins, where a long is a quarter
-    of a name. Records with under ``least_size`` tokens or without an id take no part; repeated rows count once.
+    A class is named by the MD5 of its sorted tokens, and its number is a 64-bit hash of them; should two names
+    ever have one number, classes are numbered one by one. Tokens go on as 64-bit hashes. Records with under
+    ``least_size`` tokens or without an id take no part; repeated rows count once.
     """
     d = records.select(F.col(record_id).alias("id"), tokens.alias("tokens")).where(F.col("id").isNotNull() & (F.size("tokens") >= max(1, least_size)))
-    d, _ = store(d.withColumn("name", F.md5(F.array_join("tokens", "\x1f"))), "record-sets")
-    sets = d.groupBy("name").agg(F.first("tokens").alias("tokens"))
-    sets, _ = store(sets.withColumn("set_id", F.monotonically_increasing_id()), "distinct-sets")
-    members, _ = store(d.select("name", "id").distinct().join(sets.select("name", "set_id"), "name").select("set_id", "id"), "set-members")
+    d = d.select("id", F.xxhash64("tokens").alias("set_id"), "tokens", F.md5(F.array_join("tokens", "\x1f")).alias("name"))
+    seen = Observation()
+    hashes = F.transform("tokens", lambda t: F.xxhash64(t)).alias("ts")
+    sets = d.groupBy("set_id").agg(F.min("name").alias("name"), F.max("name").alias("last"), F.first("tokens").alias("tokens"))
+    sets, _ = store(sets.observe(seen, F.count_if(F.col("name") != F.col("last")).alias("clashes")).select("set_id", "name", hashes), "distinct-sets")
+    members = d.select("set_id", "id").distinct()
+    if seen.get["clashes"]:
+        sets = d.groupBy("name").agg(F.first("tokens").alias("tokens")).select(F.monotonically_increasing_id().alias("set_id"), "name", hashes)
+        sets, _ = store(sets, "distinct-sets")
+        members = d.select("name", "id").distinct().join(sets.select("name", "set_id"), "name").select("set_id", "id")
+    members, _ = store(members, "set-members")
     return sets, members
 
 
@@ -184,6 +212,7 @@ def similar_records(records: DataFrame, record_id: str, tokens: Column, threshol
     of one class are pairs of similarity 1. Rows with a null id take no part; an id given twice with
     one set pairs once with others and never with itself.
     """
+    ship_package(records.sparkSession)
     sets, members = distinct_sets(records, record_id, tokens, least_size)
     links = similar_sets(sets, threshold, least_size)
     ma = members.select(F.col("set_id").alias("a"), F.col("id").alias("x"))
@@ -195,6 +224,7 @@ def similar_records(records: DataFrame, record_id: str, tokens: Column, threshol
 
 def classes_with_links(records: DataFrame, record_id: str, tokens: Column, threshold: float = 0.8, least_size: int = 1) -> DataFrame:
     """One row for each record that takes part: ``id``, its class ``set_id`` (by name) and ``links``, the other classes similar to its own."""
+    ship_package(records.sparkSession)
     sets, members = distinct_sets(records, record_id, tokens, least_size)
     links = similar_sets(sets, threshold, least_size)
     counts = links.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count("*").alias("links"))
