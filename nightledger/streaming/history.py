@@ -9,18 +9,18 @@ from pyspark.sql import functions as F
 
 from nightledger.operators.relational import upsert
 from nightledger.session import new_table_path
-from nightledger.sources.files import VersionedTable
+from nightledger.sources.files import BucketedTable
 
 
-def upsert_stream(stream: DataFrame, table: VersionedTable, key: Sequence[str], order: Sequence[str], checkpoint: str):
+def upsert_stream(stream: DataFrame, table: BucketedTable, order: Sequence[str], checkpoint: str):
     """Start a query that folds each micro-batch into the table, the later row of a key winning.
 
-    A batch that is delivered again after a failure writes the same rows, so the table is as if it came once.
+    Only the buckets that a batch has keys in are read and written anew. A batch that is delivered again after a
+    failure writes the same rows, so the table is as if it came once.
     """
 
     def fold(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            table.write(upsert(table.read(batch.schema), batch, key, order))
+        table.rewrite(batch, lambda old, new: upsert(old, new, table.key, order))
 
     return stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

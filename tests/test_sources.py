@@ -15,6 +15,10 @@ def test_json_lines_with_issues(spark, tmp_path, rows):
     records, issues = files.read_json_lines(spark, str(tmp_path / "x.jsonl"), SCHEMA)
     assert rows(records) == [(1, "é"), (3, None)]
     assert sorted(r["message"] for r in issues.collect()) == ["the line can't be parsed", "the line is no object", "the line is no object"]
+    assert sorted((r["line"], r["text"]) for r in issues.collect()) == [(4, '{"a": 2'), (5, "[1, 2]"), (7, '"text"')]
+    with pytest.raises(ValueError, match="x.jsonl:4: the line can't be parsed"):
+        files.read_json_lines(spark, str(tmp_path / "x.jsonl"), SCHEMA, strict=True)
+    assert [d.count() for d in files.read_json_lines(spark, str(tmp_path / "no.jsonl"), SCHEMA, strict=True)] == [0, 0]
     none, gone = files.read_json_lines(spark, str(tmp_path / "no.jsonl"), SCHEMA)
     assert none.count() == 0 and gone.first()["message"] == "the file is missing"
     files.write_json_lines(records, str(tmp_path / "out"))
@@ -43,16 +47,22 @@ def test_nested_round_trip(spark):
 
 
 def test_versions_and_streamed_upsert(spark, tmp_path, rows):
-    t = files.VersionedTable(spark, str(tmp_path / "t"))
-    assert t.read(SCHEMA).count() == 0
+    t = files.BucketedTable(spark, str(tmp_path / "t"), ["a"], SCHEMA, 4)
+    assert t.read().count() == 0
     source = tmp_path / "in"
     for n, data in enumerate(([(1, "x"), (2, "x")], [(1, "y")], [(1, "y")])):
         spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(str(source))
-        q = upsert_stream(spark.readStream.schema(SCHEMA).parquet(str(source)), t, ["a"], [], str(tmp_path / "cp"))
+        q = upsert_stream(spark.readStream.schema(SCHEMA).parquet(str(source)), t, [], str(tmp_path / "cp"))
         q.awaitTermination()
-    assert rows(t.read(SCHEMA)) == [(1, "y"), (2, "x")]
+    assert rows(t.read()) == [(1, "y"), (2, "x")]
+    assert t.rewrite(spark.createDataFrame([(2, "z")], SCHEMA), lambda old, new: upsert(old, new, ["a"])) == 1
+    assert rows(t.read()) == [(1, "y"), (2, "z")] and t.rewrite(spark.createDataFrame([], SCHEMA), lambda old, new: new) == 0
+    t = files.VersionedTable(spark, str(tmp_path / "v"))
+    for n in range(4):
+        t.write(spark.createDataFrame([(n, "z")], SCHEMA))
+    assert rows(t.read(SCHEMA)) == [(3, "z")] and sorted(p.name for p in (tmp_path / "v" / "current").iterdir() if p.name.isdigit()) == ["3", "4"]
     t.write(upsert(t.read(SCHEMA), spark.createDataFrame([(9, "z")], SCHEMA), ["a"]))
-    assert t.read(SCHEMA).count() == 3
+    assert t.read(SCHEMA).count() == 2
 
 
 def test_stream_equals_batch(spark, tmp_path, rows):
@@ -76,3 +86,32 @@ def test_rooms_of_a_page(spark, rows):
     df = spark.createDataFrame([(1, page), (2, None), (3, "<a href='#RD7'>Suite</a>")], "id int, html string")
     assert rows(html.room_inventory(df, "id", "html")) == [(1, 1, "12", "Double Room"), (1, 2, "7", "Studio"), (3, 1, "7", "Suite")]
     assert [r[2] for r in rows(html.links(df.where("id = 1"), "id", "html"))] == ["#RD12", "#RD7", "#RDx", "/p", "#map"]
+
+
+def test_run_folders(spark, tmp_path, rows):
+    from nightledger.sources import runs
+
+    root = str(tmp_path / "runs")
+    assert runs.latest_run(spark, root) is None
+    for name in ("20310601T1", "20310602T1", "20310603T1"):
+        (tmp_path / "runs" / name).mkdir(parents=True)
+    (tmp_path / "runs" / "20310602T1" / "rooms.jsonl").write_text('{"a": 1, "b": "x"}\nno\n')
+    assert runs.latest_run(spark, root) == "20310603T1" and runs.latest_run(spark, root, "rooms.jsonl") == "20310602T1"
+    tables, issues = runs.read_run(spark, f"{root}/20310602T1", {"rooms": SCHEMA, "gone": SCHEMA})
+    assert rows(tables["rooms"]) == [(1, "x")] and tables["gone"].count() == 0
+    assert sorted((r["line"] or 0, r["message"]) for r in issues.collect()) == [(0, "the file is missing"), (2, "the line is no object")]
+    assert rows(runs.read_registry(spark, f"{root}/20310602T1/rooms.jsonl", SCHEMA)) == [(1, "x")]
+    runs.write_document(spark, f"{root}/meta.json", {"b": "é", "a": 1})
+    assert runs.read_document(spark, f"{root}/meta.json") == {"a": 1, "b": "é"} and runs.read_document(spark, f"{root}/no.json", {}) == {}
+    assert rows(runs.client_profile(spark, {"a": 5, "z": 1}, SCHEMA)) == [(5, None)]
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    path = tmp_path / "long.jsonl"
+    path.write_text("".join(('{"a": %d}\n' % i) if i % 1000 else "oops\n" for i in range(1, 20001)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+    try:
+        _, issues = files.read_json_lines(spark, str(path), SCHEMA)
+        assert sorted(r["line"] for r in issues.collect()) == list(range(1000, 20001, 1000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
