@@ -71,9 +71,7 @@ select s.spec_id, s.set_id, coalesce(l.links, 0) as links from sets s left join
 
 def p6_term_counts(spark: SparkSession, folder: str) -> DataFrame:
     specs = table(spark, folder, "client_specs")
-    values = compared_values("amenities", "property_facilities")
-    total = specs.agg(F.count_if(F.size(values) > 0).alias("n"))
-    return terms.mark_terms(terms.term_counts(specs, values), total, RARE_AT_MOST, COMMON_ABOVE)
+    return terms.marked_terms(specs, compared_values("amenities", "property_facilities"), RARE_AT_MOST, COMMON_ABOVE)
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:

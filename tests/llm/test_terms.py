@@ -11,17 +11,14 @@ def test_counts_and_marks(spark, rows):
     values = compared_values("x", "y")
     counts = terms.term_counts(df, values)
     assert rows(counts) == [("a", 5, 4), ("b", 2, 2), ("c", 1, 1)]
-    total = df.agg(F.count_if(F.size(values) > 0).alias("n"))
-    marks = {r["token"]: r["mark"] for r in terms.mark_terms(counts, total, 1, 0.5).collect()}
-    assert marks == {"a": "common", "b": None, "c": "rare"}
-    assert rows(terms.term_counts(df.limit(0), values)) == []
-    assert rows(terms.mark_terms(terms.term_counts(df.limit(0), values), df.limit(0).agg(F.count("*").alias("n")), 1, 0.5)) == []
+    marked = rows(terms.marked_terms(df, values, 1, 0.5).select("token", "occurrences", "records", "mark"))
+    assert marked == [("a", 5, 4, "common"), ("b", 2, 2, None), ("c", 1, 1, "rare")]
+    assert rows(terms.term_counts(df.limit(0), values)) == rows(terms.marked_terms(df.limit(0), values, 1, 0.5)) == []
 
 
 def test_half_is_not_common(spark):
     df = spark.createDataFrame([(["a"],), (["b"],), (["a"],), (["b"],)], "x array<string>")
-    counts = terms.term_counts(df, F.col("x"))
-    marks = {r["token"]: r["mark"] for r in terms.mark_terms(counts, df.agg(F.count("*")), 1, 0.5).collect()}
+    marks = {r["token"]: r["mark"] for r in terms.marked_terms(df, F.col("x"), 1, 0.5).collect()}
     assert marks == {"a": None, "b": None}
 
 
