@@ -19,8 +19,8 @@ from nightledger.session import remove_path, ship_package, store
 #: Tokens in more than 1 / this of all (set, token) rows get their true frequency as rank. There can't
 #: be more than this many of them, so what reaches the tasks has a bound whatever the input is.
 RANKED_TOKENS = 100_000
-#: What handling one candidate pair costs, in signatures.
-PAIR_COST = 1.0
+#: What handling one candidate pair costs, in signatures: it is joined twice with its sets and verified.
+PAIR_COST = 3.0
 MAX_COMBINATION = 4
 
 
@@ -190,17 +190,18 @@ def distinct_sets(records: DataFrame, record_id: str, tokens: Column, least_size
     ``least_size`` tokens or without an id take no part; repeated rows count once.
     """
     d = records.select(F.col(record_id).alias("id"), tokens.alias("tokens")).where(F.col("id").isNotNull() & (F.size("tokens") >= max(1, least_size)))
-    d = d.select("id", F.xxhash64("tokens").alias("set_id"), "tokens", F.md5(F.array_join("tokens", "\x1f")).alias("name"))
-    seen = Observation()
     hashes = F.transform("tokens", lambda t: F.xxhash64(t)).alias("ts")
-    sets = d.groupBy("set_id").agg(F.min("name").alias("name"), F.max("name").alias("last"), F.first("tokens").alias("tokens"))
-    sets, _ = store(sets.observe(seen, F.count_if(F.col("name") != F.col("last")).alias("clashes")).select("set_id", "name", hashes), "distinct-sets")
+    d, path = store(d.select("id", F.xxhash64("tokens").alias("set_id"), F.md5(F.array_join("tokens", "\x1f")).alias("name"), hashes), "record-sets")
+    seen = Observation()
+    sets = d.groupBy("set_id").agg(F.min("name").alias("name"), F.max("name").alias("last"), F.first("ts").alias("ts"))
+    sets, _ = store(sets.observe(seen, F.count_if(F.col("name") != F.col("last")).alias("clashes")).drop("last"), "distinct-sets")
     members = d.select("set_id", "id").distinct()
     if seen.get["clashes"]:
-        sets = d.groupBy("name").agg(F.first("tokens").alias("tokens")).select(F.monotonically_increasing_id().alias("set_id"), "name", hashes)
+        sets = d.groupBy("name").agg(F.first("ts").alias("ts")).select(F.monotonically_increasing_id().alias("set_id"), "name", "ts")
         sets, _ = store(sets, "distinct-sets")
         members = d.select("name", "id").distinct().join(sets.select("name", "set_id"), "name").select("set_id", "id")
     members, _ = store(members, "set-members")
+    remove_path(records.sparkSession, path)
     return sets, members
 
 
