@@ -1,3 +1,4 @@
+import math
 from datetime import date
 
 from nightledger.operators import features as fe
@@ -90,3 +91,49 @@ def test_matrix_contract_and_booster(spark):
     assert b.scores["r2_log"] > 0.5 and b.lower <= b.upper
     out = b.predict(df.limit(5), ["u"]).collect()
     assert len(out) == 5 and all(0 < r["low"] <= r["high"] for r in out)
+
+
+def _offers(spark):
+    n = F.col("id")
+    return spark.range(0, 400).select(
+        (n % 20).cast("string").alias("u"), (n % 7).cast("double").alias("size"), F.element_at(F.array(F.lit("Villa"), F.lit("Hotel")), (n % 2 + 1).cast("int")).alias("kind"),
+        F.when(n % 3 == 0, F.array(F.lit("pool"))).alias("tags"), F.exp(4 + (n % 7) * 0.1 + (n % 2) * 0.3 + (n % 11) * 0.01).alias("price"),
+    )
+
+
+def test_search_and_bake_off(spark):
+    from nightledger.operators import search
+
+    space = {"maxDepth": [2, 3], "maxIter": [2, 4]}
+    assert len(search.sample_configs(space, 9, 1)) == 4 and search.sample_configs(space, 2, 1) == search.sample_configs(space, 2, 1)
+    assert search.better({"mae": 1.0, "r2_log": 0.1}, {"mae": 2.0, "r2_log": 0.9}) and search.better({"mae": 1.0, "r2_log": 0.5}, {"mae": 1.0, "r2_log": 0.4})
+    winner, board = search.bake_off(_offers(spark), "price", "u", ["size"], ["kind"], "tags", [25], {"boosted": {"maxDepth": [3], "maxIter": [3]}, "forest": {"maxDepth": [1], "numTrees": [2]}}, 1, folds=3)
+    assert winner["family"] == "boosted" and [b["metrics"]["mae"] for b in board] == sorted(b["metrics"]["mae"] for b in board) and board[0]["metrics"]["folds"] == 3
+
+
+def test_quantile_tree_covers(spark):
+    from nightledger.operators import search
+
+    df = _offers(spark)
+    tree = search.fit_quantile_tree(df, "price", ["size"], ["kind"], coverage=0.8)
+    got = tree.predict(df, ["price"]).agg(F.avg((F.col("price").between(F.col("low") - 1e-9, F.col("high") + 1e-9)).cast("int")).alias("share"), F.count("low").alias("n")).first()
+    assert got["n"] == 400 and 0.7 <= got["share"] <= 0.95
+
+
+def test_counterfactual_prices(spark):
+    from nightledger.operators import search
+    from nightledger.operators.design import fit_booster
+
+    df = _offers(spark)
+    b = fit_booster(df, "price", "u", ["size"], ["kind"], "tags", folds=3, maxIter=8)
+    client = {"size": 6.0, "kind": "Hotel", "unknown": 1}
+    peer = df.where("size = 0 and kind = 'Villa'").limit(5)
+    out = search.adjusted_prices(b, peer, client, "price", ["u", "price"]).collect()
+    assert len(out) == 5 and all(1.5 < r["factor"] <= 2.0 and abs(r["adjusted"] - r["price"] * r["factor"]) < 1e-9 for r in out)
+    same = search.adjusted_prices(b, df.where("size = 6 and kind = 'Hotel'").limit(3), client, "price", ["u"]).collect()
+    assert all(abs(r["factor"] - 1) < 1e-9 for r in same)
+    for r in search.price_gaps(b, peer, client, 150.0, "price", ["u"]).collect():
+        assert abs(r["gap"] - r["explained"] - r["residual"]) < 1e-9
+    moves = {r["feature"]: r["contribution"] for r in search.gap_drivers(b, peer, client).collect()}
+    whole = search.adjusted_prices(b, peer.limit(1), client, "price", ["u"], None).first()["factor"]
+    assert set(moves) == {"size", "kind"} and abs(math.exp(sum(moves.values())) - whole) < 1e-6
