@@ -21,6 +21,9 @@ _URL = "split_part(split_part(property_url, '?', 1), '#', 1)"
 _PRICE = "case when price_per_night > 0 and not isnan(price_per_night) then price_per_night end"
 
 
+_USABLE_SQL = "latitude is not null and longitude is not null and not isnan(latitude) and not isnan(longitude) and abs(latitude) <= 90 and abs(longitude) <= 180 and not (latitude = 0 and longitude = 0)"
+
+
 def query(sql: str | None = None):
     def add(f):
         QUERIES[f.__name__] = f
@@ -213,6 +216,55 @@ def src16_listings(spark, folder):
     return html.listings(pages, "spec_id", "html").select("page", "position", "name", "url", "price_text")
 
 
+_CLEAN_SQL = r"trim(regexp_replace(v, '[\s\p{Z}\x0b\x{0085}\x1c-\x1f]+', ' ', 'g'))"
+
+
+@query(
+    f"""with a as (select spec_id, list_filter(list_transform(list_filter(coalesce(amenities, []), lambda v: v is not null), lambda v: {_CLEAN_SQL}), lambda v: v <> '') as am from client_specs)
+    select s.spec_id as page, s.spec_id::varchar as room_id, case when not isnan(room_size_sqm) then round(room_size_sqm, 1) end as room_size_sqm, case when not isnan(bed_count) then bed_count::int end as bed_count,
+      case when spec_id % 2 = 0 then 4 else 3 end as max_persons, array_to_string(am, '|') as amenities from client_specs s join a using (spec_id)"""
+)
+def udf03_room_features(spark, folder):
+    """Pages made of the specs, read back: each room twice, the second time under another name."""
+    d = table(spark, folder, "client_specs").withColumn("i", F.col("spec_id"))
+    safe = lambda v: F.replace(F.replace(v, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    some = F.filter(F.coalesce("amenities", F.array().cast("array<string>")), lambda v: v.isNotNull())
+    items = F.array_join(F.transform(some, lambda v: F.concat(F.lit("<li class='hprt-facilities-facility'>"), safe(v), F.lit("</li>"))), "")
+    size = F.when(~F.isnan("room_size_sqm"), F.concat(F.lit("<b class='size hprt-facilities-facility'>"), F.round("room_size_sqm", 1).cast("string"), F.lit(" m²</b>")))
+    beds = F.when(~F.isnan("bed_count"), F.concat(F.lit("<i class='rt-bed-type'>"), F.col("bed_count").cast("int").cast("string"), F.lit(" beds</i>")))
+    sleeps = F.when(F.col("i") % 2 == 0, "Sleeps: 1 - 4 guests").otherwise("Max persons: 3")
+    row = lambda name, more: F.concat(
+        F.lit("<tr class='js-rt-block-row' data-block-id='"), F.col("i"), F.lit("_1'><th class='hprt-table-cell-roomtype'><a class='hprt-roomtype-link'>" + name + "</a>"), more,
+        F.lit("</th><td class='hprt-table-cell-occupancy'>"), sleeps, F.lit("</td></tr>"),
+    )
+    page = F.concat(F.lit("<table>"), row("Suite", F.concat(F.coalesce(beds, F.lit("")), items, F.coalesce(size, F.lit("")))), row("Again", F.lit("")), F.lit("</table>"))
+    out = html.room_features(d.select("spec_id", page.alias("html")), "spec_id", "html")
+    listed = F.filter(F.coalesce("amenities", F.array().cast("array<string>")), lambda t: ~t.rlike("^[0-9.]+ m²$"))
+    return out.select("page", "room_id", "room_size_sqm", "bed_count", "max_persons", F.array_join(listed, "|").alias("amenities"))
+
+
+@query(
+    f"""select spec_id as page, case when not isnan(star_rating) and star_rating > 0 and star_rating <= 5 then star_rating end as star_rating, case when not isnan(review_score) then round(review_score, 1) end as review_score,
+      case when {_USABLE_SQL} then latitude end as latitude, case when {_USABLE_SQL} then longitude end as longitude, 'Villa' as property_type, (spec_id * 1000 + 7)::int as review_count from client_specs"""
+)
+def udf04_property_features(spark, folder):
+    """Property pages made of the specs, read back."""
+    d = table(spark, folder, "client_specs")
+    text = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    ok = spatial.usable(F.col("latitude"), F.col("longitude"))
+    score = F.when(~F.isnan("review_score"), F.concat(F.lit("Scored "), F.round("review_score", 1).cast("string"), F.lit(" ")))
+    page = F.concat(
+        F.lit("<i data-testid='rating-stars' aria-label='"), F.coalesce(F.when(~F.isnan("star_rating"), F.concat(F.col("star_rating").cast("string"), F.lit(" out of five"))), F.lit("none")), F.lit("'></i><a data-atlas-latlng='"),
+        F.coalesce(F.when(ok, F.concat(text(F.col("latitude")), F.lit(","), text(F.col("longitude")))), F.lit("x")), F.lit("'></a><p data-testid='breadcrumb-current'>A (new) home (VILLA) (Greece)</p>"),
+    )
+    badge = F.concat(F.lit("<div data-testid='review-score-right-component'>"), F.coalesce(score, F.lit("")), F.format_number(F.col("spec_id") * 1000 + 7, 0), F.lit(" reviews</div>"))
+    out = html.property_features(d.select("spec_id", "review_score", F.concat(page, badge).alias("html")), "spec_id", "html")
+    none = d.select(F.col("spec_id").alias("page"), (F.col("review_score").isNull() | F.isnan("review_score")).alias("unscored"))
+    # without a score the badge's first number is the count's
+    out = out.join(none, "page").withColumn("review_score", F.when(~F.col("unscored"), F.col("review_score")))
+    return out.select("page", "star_rating", "review_score", "latitude", "longitude", "property_type", "review_count")
+
+
 @query("select case when p is null then 'an unclear position relative to' when p >= 90 then 'at the very top of' when p >= 75 then 'well above the middle of' when p >= 55 then 'above the middle of' when p > 45 then 'around the middle of' when p > 25 then 'below the middle of' when p > 10 then 'well below the middle of' else 'at the very bottom of' end as band, count(*) as n from (select case when not isnan(review_score) then review_score * 10 end as p from client_specs) group by 1")
 def prd02_bands(spark, folder):
     p = F.when(~F.isnan("review_score"), F.col("review_score") * 10)

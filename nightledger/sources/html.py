@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.functions import page_features
 from nightledger.functions.offers import room_of_block
 from nightledger.session import ship_package
 
@@ -23,6 +24,14 @@ OFFER_PARTS = {
     "current_price_text": "bui-price-display__value", "original_price_text": "bui-price-display__original",
     "occupancy_text": "hprt-table-cell-occupancy", "conditions_text": "hprt-table-cell-conditions", "scarcity_text": "only_x_left",
 }
+ROOM_FACILITY, BED_TYPE = "hprt-facilities-facility", "rt-bed-type"
+RATINGS = ("rating-stars", "rating-squares", "rating-circles")
+PHOTOS = ("gallery-cta-count", "PropertyGalleryGridButton")
+_GROUPS = "array<struct<heading: string, items: array<string>>>"
+PROPERTY_TEXTS = (
+    f"rating_labels array<string>, review_badge string, subscores array<string>, place string, breadcrumb string, facility_groups {_GROUPS}, poi_blocks {_GROUPS}, "
+    "sections array<string>, photo_texts array<string>, sustainability string"
+)
 _HIDDEN = re.compile(r"(?is)<(script|style|noscript)\b.*?(?:</\1\s*>|\Z)")
 _ROOM = re.compile(r"#RD([0-9]+)")
 _HOTEL = re.compile(r"(?i)/hotel/[a-z]{2}/[^/]+\.html$")
@@ -142,6 +151,51 @@ def offers_of(html: str | None) -> list[tuple]:
     return out
 
 
+def _all_shown(evs: list, wanted: Callable[[str, dict], bool]) -> list[str]:
+    return [t for k, (kind, tag, attrs) in enumerate(evs) if kind == "open" and wanted(tag, attrs) and (t := _shown(_element(evs, k)))]
+
+
+def _marked(mark: str) -> Callable[[str, dict], bool]:
+    return lambda tag, attrs: attrs.get("data-testid") == mark
+
+
+def rooms_of(html: str | None) -> list[tuple]:
+    """(room_id, block_id, room_name, facilities, bed_types, occupancy_text) of each offer's row that has a room's cell."""
+    evs = events(html)
+    out = []
+    for k, (kind, tag, attrs) in enumerate(evs):
+        if kind != "open" or tag != "tr" or not _classed(OFFER_ROW)(tag, attrs):
+            continue
+        row = _element(evs, k)
+        cell = _first(row, lambda tag, a: tag == "th" and _classed(ROOM_CELL)(tag, a))
+        if cell is None:
+            continue
+        link = _first(cell, _classed(ROOM_LINK))
+        occupancy = _first(row, lambda tag, a: tag == "td" and _classed(OFFER_PARTS["occupancy_text"])(tag, a))
+        out.append((link[0][2].get("data-room-id") if link else None, attrs.get("data-block-id"), _shown(link), _all_shown(cell, _classed(ROOM_FACILITY)), _all_shown(cell, _classed(BED_TYPE)), _shown(occupancy)))
+    return out
+
+
+def _groups(evs: list, mark: str) -> list[dict]:
+    """Heading and list items of each element with the mark."""
+    whole = [_element(evs, k) for k, (kind, tag, attrs) in enumerate(evs) if kind == "open" and attrs.get("data-testid") == mark]
+    return [{"heading": _shown(_first(g, lambda tag, _: tag == "h3")), "items": _all_shown(g, lambda tag, _: tag == "li")} for g in whole]
+
+
+def property_of(html: str | None) -> list[tuple]:
+    """The raw texts of a property's page, in the order of ``PROPERTY_TEXTS``: one row, nulls and empty lists where the page has none."""
+    evs = events(html)
+    opened = [attrs for kind, _, attrs in evs if kind == "open"]
+    labels = [a["aria-label"] for mark in RATINGS for a in opened if a.get("data-testid") == mark and a.get("aria-label")]
+    photos = [t for mark in PHOTOS for t in [*_all_shown(evs, _marked(mark)), *[a["aria-label"] for a in opened if a.get("data-testid") == mark and a.get("aria-label")]]]
+    places = [a["data-atlas-latlng"] for a in opened if a.get("data-atlas-latlng")]
+    one = lambda mark: _shown(_first(evs, _marked(mark)))
+    return [(
+        labels, one("review-score-right-component"), _all_shown(evs, _marked("review-subscore")), places[0] if places else None, one("breadcrumb-current"),
+        _groups(evs, "facility-group-container"), _groups(evs, "poi-block"), _all_shown(evs, _marked("property-section--content")), photos, one("sustainability-property-badge"),
+    )]
+
+
 def _parsed(pages: DataFrame, page: str, html: str, rows_of: Callable[[str | None], list[tuple]], schema: str) -> DataFrame:
     """(page, position, ...): the rows of each page, numbered from 1, by Arrow batches."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -219,3 +273,17 @@ def price_rows(pages: DataFrame, page: str, html: str) -> DataFrame:
     names = [n for n in OFFER_PARTS if n != "scarcity_text"] + ["scarcity_text"]
     d = _parsed(pages, page, html, offers_of, f"room_id string, room_name string, block_id string, {', '.join(f'{n} string' for n in names)}, quantity_options array<string>")
     return d.withColumn("room_id", F.coalesce("room_id", room_of_block("block_id")))
+
+
+def room_features(pages: DataFrame, page: str, html: str) -> DataFrame:
+    """(page, room_id, features): each room of a page once, by its first header; rooms without an id are left out."""
+    d = _parsed(pages, page, html, rooms_of, "room_id string, block_id string, room_name string, facilities array<string>, bed_types array<string>, occupancy_text string")
+    d = d.withColumn("room_id", F.coalesce("room_id", room_of_block("block_id"))).where("room_id is not null")
+    first = d.groupBy("page", "room_id").agg(F.min_by(F.struct("room_name", "facilities", "bed_types", "occupancy_text"), "position").alias("r")).select("page", "room_id", "r.*")
+    return first.select("page", "room_id", *[c.alias(n) for n, c in page_features.of_room().items()])
+
+
+def property_features(pages: DataFrame, page: str, html: str) -> DataFrame:
+    """(page, features): one row a page."""
+    d = _parsed(pages, page, html, property_of, PROPERTY_TEXTS)
+    return d.select("page", *[c.alias(n) for n, c in page_features.of_property().items()])

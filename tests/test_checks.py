@@ -117,3 +117,32 @@ def test_offers_carry_their_room(spark, rows):
     assert [tuple(r) for r in got] == [
         (1, "55", None, "55_1", "EUR 90", None, None, ["1", "2"]), (2, "77", "Big Room", "77_1", "EUR 100", None, "Only 2", ["1", "2"]), (3, "77", "Big Room", "77_2", "EUR 120", None, "Only 2", ["1", "2"]),
     ]
+
+
+def test_room_features(spark):
+    row = "<tr class='js-rt-block-row' data-block-id='{}'>{}<td class='hprt-table-cell-occupancy'>{}</td></tr>"
+    room = "<th class='hprt-table-cell-roomtype'><a class='hprt-roomtype-link' {}>{}</a><span class='rt-bed-type'>2 single beds</span><span class='rt-bed-type'>1 sofa bed</span><ul><li class='hprt-facilities-facility'>Balcony</li><li class='hprt-facilities-facility x'>25,5 m²</li></ul></th>"
+    page = "<table>" + row.format("9_1", room.format("data-room-id='7'", "Junior Suite with View"), "Sleeps: 2 - 4 guests") + row.format("7_2", "", "x") + row.format("8_1", "<th class='hprt-table-cell-roomtype'></th>", "Max persons: 3") + row.format("7_9", room.format("data-room-id='7'", "Again"), "") + row.format("none", "<th class='hprt-table-cell-roomtype'></th>", "") + "</table>"
+    df = spark.createDataFrame([(1, page), (2, None)], "id int, html string")
+    got = {r["room_id"]: r for r in html.room_features(df, "id", "html").collect()}
+    assert set(got) == {"7", "8"}
+    a, b = got["7"], got["8"]
+    assert (a["room_name"], a["room_size_sqm"], a["bed_types"], a["bed_count"], a["max_persons"], a["amenities"], a["room_class"]) == ("Junior Suite with View", 25.5, ["2 single beds", "1 sofa bed"], 3, 4, ["Balcony", "25,5 m²"], "Junior Suite")
+    assert (b["room_size_sqm"], b["bed_types"], b["bed_count"], b["max_persons"], b["amenities"], b["room_class"]) == (None, None, None, 3, None, None)
+
+
+def test_property_features(spark):
+    page = """<i data-testid='rating-squares' aria-label='4.5 out of 5'></i><a data-atlas-latlng='35.5,24.0'>map</a><div data-testid='breadcrumb-current'>Villa (old) Rosa (Bed  and Breakfast) (Greece) deals</div>
+    <div data-testid='review-score-right-component'>Scored <b>9.1</b> 9.1 Superb 1,242 reviews</div><div data-testid='review-subscore'>Free WiFi 10</div><div data-testid='review-subscore'>Location</div><div data-testid='review-subscore'>Comfort 8.5</div>
+    <div data-testid='facility-group-container'><h3>Food</h3><ul><li>Bar</li><li> </li><li>Grill</li></ul></div><div data-testid='facility-group-container'><h3>Languages spoken here</h3><ul><li>Greek</li></ul></div>
+    <div data-testid='poi-block'><h3>Beaches</h3><ul><li>Nea Chora 1,200 m</li><li>Far Beach 3.5 KM</li><li>nowhere</li></ul></div><div data-testid='property-section--content'>other</div>
+    <div data-testid='property-section--content'>Check-in From 14:00 to 23:30 Check-out From 7:00 to 11:00 Cancellation/ prepayment Varies by room Children welcome</div><button data-testid='gallery-cta-count'>+1,048 photos</button>"""
+    df = spark.createDataFrame([(1, page), (2, None), (3, "<a data-atlas-latlng='x,1'><i data-testid='rating-stars' aria-label='9 stars'>")], "id int, html string")
+    got = {r["page"]: r.asDict(True) for r in html.property_features(df, "id", "html").collect()}
+    assert got[1] == {
+        "page": 1, "star_rating": 4.5, "review_score": 9.1, "review_count": 1242, "review_subscores": {"Free WiFi": 10.0, "Comfort": 8.5}, "latitude": 35.5, "longitude": 24.0, "property_type": "Bed and breakfast",
+        "property_facilities": ["Bar", "Grill"], "languages_spoken": ["Greek"],
+        "nearby_poi": [{"poi_name": "Nea Chora", "distance": 1200.0, "unit": "m", "category": "Beaches"}, {"poi_name": "Far Beach", "distance": 3.5, "unit": "km", "category": "Beaches"}],
+        "checkin_from": "14:00", "checkin_until": "23:30", "checkout_from": "7:00", "checkout_until": "11:00", "house_rules": {"cancellation": "Varies by room"}, "photo_count": 1048, "sustainability_level": None,
+    }
+    assert all(v is None for k, v in got[2].items() if k != "page") and all(v is None for k, v in got[3].items() if k != "page")
