@@ -37,7 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     """
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
-        return given.rstrip("/")
+        fs, target = _on_files(spark, given.rstrip("/"))
+        return fs.makeQualified(target).toString()  # with its scheme, so that all parts of Spark take it for the same
     master = spark.sparkContext.master
     if not (master == "local" or master.startswith("local[")):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
