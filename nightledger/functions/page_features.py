@@ -17,7 +17,19 @@ PROPERTY_TYPES = (
     "Inn", "Lodge", "Luxury tent", "Motel", "Resort", "Riad", "Ryokan", "Villa",
 )
 LANGUAGES = "languages spoken"
-_AFTER_CANCELLATION = "Children|Child|Pets|Cards|Age|Deposit|Smoking|Parties|Quiet|Internet|Parking"
+# How pages word their facts.
+SIZE = r"(?i)([0-9]+(?:[.,][0-9]+)?)\s*m(?:²|2)"
+LEADING_NUMBER = r"^\s*([0-9]+)"
+PERSONS = (r"(?i)Max persons:\s*([0-9]+)", r"(?i)Sleeps:\s*[0-9]+\s*[-–]\s*([0-9]+)", r"(?i)Sleeps:\s*([0-9]+)")
+STARS = r"([0-9](?:\.[0-9])?)"
+SCORE = r"([0-9]+(?:\.[0-9]+)?)"
+REVIEWS = r"(?i)([0-9,]+)\s+reviews?"
+SUBSCORE = r"^(.+?)\s+([0-9]+(?:\.[0-9]+)?)$"
+IN_PARENTHESES = r"\(([^)]+)\)"
+DISTANCE = r"(?i)^(.+?)\s+([0-9.,]+)\s*(km|m)$"
+SPAN = r"\s+From\s+([0-9]{1,2}:[0-9]{2})\s+to\s+([0-9]{1,2}:[0-9]{2})"
+CANCELLATION = r"Cancellation/?\s*prepayment\s+(.*?)(?:\s+(?:Children|Child|Pets|Cards|Age|Deposit|Smoking|Parties|Quiet|Internet|Parking)\b|$)"
+PHOTOS = r"([0-9][0-9,]*)"
 
 
 def found(text: Column, pattern: str, group: int = 1) -> Column:
@@ -35,18 +47,17 @@ def _some(values: Column) -> Column:
 
 
 def room_size(facilities: Column) -> Column:
-    return F.translate(_first_found(facilities, r"(?i)([0-9]+(?:[.,][0-9]+)?)\s*m(?:²|2)"), ",", ".").try_cast("double")
+    return F.translate(_first_found(facilities, SIZE), ",", ".").try_cast("double")
 
 
 def bed_count(beds: Column) -> Column:
     """The sum of the numbers that bed texts begin with; null where none does."""
-    numbers = F.filter(F.transform(beds, lambda b: found(b, r"^\s*([0-9]+)").try_cast("int")), lambda n: n.isNotNull())
+    numbers = F.filter(F.transform(beds, lambda b: found(b, LEADING_NUMBER).try_cast("int")), lambda n: n.isNotNull())
     return F.when(F.size(numbers) > 0, F.aggregate(numbers, F.lit(0), lambda s, n: s + n))
 
 
 def max_persons(text: Column) -> Column:
-    forms = (r"(?i)Max persons:\s*([0-9]+)", r"(?i)Sleeps:\s*[0-9]+\s*[-–]\s*([0-9]+)", r"(?i)Sleeps:\s*([0-9]+)")
-    return F.coalesce(*[found(text, p) for p in forms]).try_cast("int")
+    return F.coalesce(*[found(text, p) for p in PERSONS]).try_cast("int")
 
 
 def room_class(name: Column) -> Column:
@@ -63,15 +74,14 @@ def of_room() -> dict[str, Column]:
 
 
 def star_rating(labels: Column) -> Column:
-    stars = F.transform(labels, lambda t: found(t, r"([0-9](?:\.[0-9])?)").try_cast("double"))
+    stars = F.transform(labels, lambda t: found(t, STARS).try_cast("double"))
     return F.get(F.filter(stars, lambda v: (v > 0) & (v <= 5)), F.lit(0))
 
 
 def subscores(texts: Column) -> Column:
     """Category and score of texts such as ``Location 9.7``; of a category given twice the last counts."""
-    shape = r"^(.+?)\s+([0-9]+(?:\.[0-9]+)?)$"
-    fits = F.filter(texts, lambda t: t.rlike(shape))
-    pairs = F.transform(fits, lambda t: F.struct(F.trim(F.regexp_extract(t, shape, 1)).alias("key"), F.regexp_extract(t, shape, 2).cast("double").alias("value")))
+    fits = F.filter(texts, lambda t: t.rlike(SUBSCORE))
+    pairs = F.transform(fits, lambda t: F.struct(F.trim(F.regexp_extract(t, SUBSCORE, 1)).alias("key"), F.regexp_extract(t, SUBSCORE, 2).cast("double").alias("value")))
     last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
     return F.when(F.size(last) > 0, F.map_from_entries(last))
 
@@ -85,7 +95,7 @@ def place(text: Column, at: int) -> Column:
 def property_type(breadcrumb: Column) -> Column:
     """The first text in parentheses that is a type of property."""
     known = F.create_map(*[F.lit(x) for t in PROPERTY_TYPES for x in (t.lower(), t)])
-    named = F.transform(F.regexp_extract_all(breadcrumb, F.lit(r"\(([^)]+)\)")), lambda t: F.try_element_at(known, F.lower(F.trim(F.regexp_replace(t, r"\s+", " ")))))
+    named = F.transform(F.regexp_extract_all(breadcrumb, F.lit(IN_PARENTHESES)), lambda t: F.try_element_at(known, F.lower(F.trim(F.regexp_replace(t, r"\s+", " ")))))
     return F.get(F.filter(named, lambda t: t.isNotNull()), F.lit(0))
 
 
@@ -95,12 +105,11 @@ def _is_languages(group: Column) -> Column:
 
 def nearby_poi(blocks: Column) -> Column:
     """Name, distance, unit and category of list items such as ``Old Harbour 300 m``; others are passed over."""
-    shape = r"(?i)^(.+?)\s+([0-9.,]+)\s*(km|m)$"
     of = lambda b: F.transform(
-        F.filter(b["items"], lambda t: t.rlike(shape)),
+        F.filter(b["items"], lambda t: t.rlike(DISTANCE)),
         lambda t: F.struct(
-            F.trim(F.regexp_extract(t, shape, 1)).alias("poi_name"), F.translate(F.regexp_extract(t, shape, 2), ",", "").try_cast("double").alias("distance"),
-            F.lower(F.regexp_extract(t, shape, 3)).alias("unit"), b["heading"].alias("category"),
+            F.trim(F.regexp_extract(t, DISTANCE, 1)).alias("poi_name"), F.translate(F.regexp_extract(t, DISTANCE, 2), ",", "").try_cast("double").alias("distance"),
+            F.lower(F.regexp_extract(t, DISTANCE, 3)).alias("unit"), b["heading"].alias("category"),
         ),
     )
     return _some(F.filter(F.flatten(F.transform(blocks, of)), lambda p: p["distance"].isNotNull()))
@@ -112,8 +121,8 @@ def policies(sections: Column) -> dict[str, Column]:
     out = {}
     for name, word in (("checkin", "Check-in"), ("checkout", "Check-out")):
         for part, group in (("from", 1), ("until", 2)):
-            out[f"{name}_{part}"] = found(text, rf"{word}\s+From\s+([0-9]{{1,2}}:[0-9]{{2}})\s+to\s+([0-9]{{1,2}}:[0-9]{{2}})", group)
-    rule = F.trim(found(text, rf"Cancellation/?\s*prepayment\s+(.*?)(?:\s+(?:{_AFTER_CANCELLATION})\b|$)"))
+            out[f"{name}_{part}"] = found(text, word + SPAN, group)
+    rule = F.trim(found(text, CANCELLATION))
     out["house_rules"] = F.when(rule != "", F.create_map(F.lit("cancellation"), rule))
     return out
 
@@ -123,8 +132,8 @@ def of_property() -> dict[str, Column]:
     listed = lambda wanted: _some(F.flatten(F.transform(F.filter(groups, wanted), lambda g: g["items"])))
     number = lambda t: F.translate(t, ",", "").try_cast("int")
     return {
-        "star_rating": star_rating(F.col("rating_labels")), "review_score": found(badge, r"([0-9]+(?:\.[0-9]+)?)").try_cast("double"), "review_count": number(found(badge, r"(?i)([0-9,]+)\s+reviews?")),
+        "star_rating": star_rating(F.col("rating_labels")), "review_score": found(badge, SCORE).try_cast("double"), "review_count": number(found(badge, REVIEWS)),
         "review_subscores": subscores(F.col("subscores")), "latitude": place(F.col("place"), 1), "longitude": place(F.col("place"), 2), "property_type": property_type(F.col("breadcrumb")),
         "property_facilities": listed(lambda g: ~_is_languages(g)), "languages_spoken": listed(_is_languages), "nearby_poi": nearby_poi(F.col("poi_blocks")), **policies(F.col("sections")),
-        "photo_count": number(_first_found(F.col("photo_texts"), r"([0-9][0-9,]*)")), "sustainability_level": F.col("sustainability"),
+        "photo_count": number(_first_found(F.col("photo_texts"), PHOTOS)), "sustainability_level": F.col("sustainability"),
     }

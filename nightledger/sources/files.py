@@ -24,7 +24,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.createDataFrame([], schema), "missing"
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, line, value): every line of text files with its number from 1.
 
     A file may be read in any number of splits: lines are numbered within each, and moved by the lines of the

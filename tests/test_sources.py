@@ -115,3 +115,17 @@ def test_line_numbers_over_splits(spark, tmp_path):
         assert sorted(r["line"] for r in issues.collect()) == list(range(1000, 20001, 1000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_artifacts_in_the_order_of_targets(spark, tmp_path, rows):
+    from nightledger.sources import runs
+
+    for name, text in (("b", '{"a": 1, "b": "x"}\n{"a": 2\n\n{"a": 3}\n'), ("a", '{"a": 4}\n'), ("broken", "no\n"), ("unlisted", '{"a": 9}\n')):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "rows.jsonl").write_text(text)
+    root = str(tmp_path)
+    got = runs.read_artifacts(spark, root, ["b", "gone", "broken", "a"], "rows.jsonl", SCHEMA)
+    assert rows(got) == [(1, "b", 1, 1, "x"), (1, "b", 4, 3, None), (4, "a", 1, 4, None)]
+    assert rows(runs.read_artifacts(spark, root, ["gone"], "rows.jsonl", SCHEMA)) == []
+    runs.rebuild_stream(spark, root, ["b", "a"], "rows.jsonl", SCHEMA, str(tmp_path / "all"))
+    assert [r["a"] for r in spark.read.schema(SCHEMA).json(str(tmp_path / "all")).collect()] == [1, 3, 4]
