@@ -166,7 +166,8 @@ def similar_sets(sets: DataFrame, threshold: float = 0.8, least_size: int = 1) -
     homes = {max(k for k, b in enumerate(bounds) if b <= n) for n in sizes}
     homes |= {k + 1 for k in homes if k + 1 < len(bounds)}
     chosen = _chosen_sizes(roles, threshold, bounds, sorted(homes))
-    sigs = _signatures(roles, chosen)
+    # written once: the two sides of the join pick different rows, and would make them all twice
+    sigs, _ = store(_signatures(roles, chosen), "signatures")
     left = sigs.where("large").select("home", "sig", F.col("n").alias("n_l"), F.col("set_id").alias("l"))
     right = sigs.select("home", "sig", F.col("n").alias("n_r"), F.col("set_id").alias("r"), F.col("large").alias("r_large"))
     candidates = (
