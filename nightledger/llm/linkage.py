@@ -233,9 +233,11 @@ class IncrementalLinker:
         temporary.append(folded_path)
         reps = folded.where("not known").groupBy(F.col("member").alias("first_id")).agg(F.min("representative").alias("rep"))
         verdict = links.groupBy(*KEY, "code").agg(F.min("id").alias("first_id"), F.min("other").alias("other"), F.min(F.when(F.col("same"), F.col("other"))).alias("same_as"))
-        verdict = verdict.join(F.broadcast(reps) if linked <= BROADCAST_ROWS else reps, "first_id", "left").drop("first_id")
+        verdict = verdict.join(reps, "first_id", "left").drop("first_id")
         done = groups.join(F.broadcast(verdict) if linked <= BROADCAST_ROWS else verdict, [*KEY, "code"], "left")
-        done = done.withColumns({"least_id": F.least("first_id", "other"), "member": F.coalesce("same_as", "first_id")})
+        # written once for the jobs below: each of them would join it anew
+        done, done_path = store(done.withColumns({"least_id": F.least("first_id", "other"), "member": F.coalesce("same_as", "first_id")}), "batch-verdict")
+        temporary.append(done_path)
         fresh = done.where(F.col("same_as").isNull()).select("b1", "b2", "code", "first_id", "num", "txt", F.coalesce("rep", "first_id").alias("rep"), "part")
         row = lambda c: F.struct(F.col(c).alias("id"), F.col("member").alias("member"), (F.col(c) > F.col("least_id")).alias("repeat"))
         # of a code with one or two rows all ids are known; the rows of others are looked up
